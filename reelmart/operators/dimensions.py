@@ -12,7 +12,7 @@ from reelmart.functions import fixed_values as V
 from reelmart.functions.buckets import brand_of_channel
 from reelmart.functions.dates import upload_time
 from reelmart.functions.program_ids import program_id
-from reelmart.functions.titles import TitleClause, title_form, title_series
+from reelmart.functions.titles import TitleClause, title_form, title_series, video_form
 from reelmart.operators.lookups import Lookup, join_lookup, lookup
 
 # Titles and forms, by video.
@@ -27,9 +27,16 @@ def video_titles(metadata: DataFrame) -> DataFrame:
     )
 
 
-def map_video_title(facts: DataFrame, metadata: DataFrame) -> DataFrame:
-    """Title, upload time and duration. Several metadata rows of a video multiply its facts."""
-    return facts.join(video_titles(metadata), "VIDEO_ID", "left")
+def map_video_title(facts: DataFrame, metadata: DataFrame, form: bool = False) -> DataFrame:
+    """Title, upload time and duration. Several metadata rows of a video multiply its facts.
+
+    With ``form`` also VIDEO_FORM; the title is searched once per metadata row, not per fact.
+    """
+    if not form:
+        return facts.join(video_titles(metadata), "VIDEO_ID", "left")
+    titles = video_titles(metadata).withColumn("TITLE_FORM", title_form("VIDEO_TITLE", "DURATION"))
+    titled = facts.join(titles, "VIDEO_ID", "left")
+    return titled.withColumn("VIDEO_FORM", video_form("UPLOADER_TYPE", "TITLE_FORM")).drop("TITLE_FORM")
 
 
 def video_forms(metadata: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from reelmart.functions import fixed_values as V
 from reelmart.functions.buckets import device_bucket, geo_bucket, region_flags, traffic_category
 from reelmart.functions.dates import month_of_key
-from reelmart.functions.titles import title_form, video_form
+from reelmart.functions.titles import video_form
 from reelmart.operators.combine import demo_totals, region_views_revenue, video_measures
 from reelmart.operators.dimensions import (
     map_channel,
@@ -73,11 +73,9 @@ def video_mart(dims: Dimensions, grain: str, periods: Periods = None) -> DataFra
     """
     inputs = dims.inputs
     measures = video_measures(inputs.basic, inputs.revenue, grain, periods)
-    titled = map_video_title(measures, inputs.metadata)
+    titled = map_video_title(measures, inputs.metadata, form=True)
     named = map_channel(map_parent_series(map_series(titled, dims.series_by_video), dims.parents), dims.channels)
-    form = video_form("UPLOADER_TYPE", title_form("VIDEO_TITLE", "DURATION")).alias("VIDEO_FORM")
-    period = "MONTH" if grain == "monthly" else "DATE"
-    return named.select("*", form).select("PLATFORM", period, *VIDEO_COLUMNS)
+    return named.select("PLATFORM", "MONTH" if grain == "monthly" else "DATE", *VIDEO_COLUMNS)
 
 
 def _with_forms(facts: DataFrame, dims: Dimensions, measures: list[str]) -> DataFrame:

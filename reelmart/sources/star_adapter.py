@@ -8,6 +8,8 @@ by rewriting values, not by leaving rows out.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import DataFrame, SparkSession
 
 from reelmart.sources.inputs import Inputs
@@ -205,18 +207,34 @@ ADAPTERS = {
     "traffic_dim": TRAFFIC_DIM,
     "device_dim": DEVICE_DIM,
 }
-STAR_TABLES = ["lineitem", "part", "supplier", "nation", "region"]
+STAR_SCHEMAS = {
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+    "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING, "
+    "l_shipdate TIMESTAMP_NTZ",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "region": "r_regionkey INT, r_name STRING",
+}
 
 
-def star_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{folder}/{name}.parquet") for name in STAR_TABLES}
+class Star:
+    """The star in one folder. Tables are opened once, with their schema given."""
 
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark = spark
+        self.folder = folder
 
-def adapted(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One input over the star in ``folder``."""
-    used = {t: df for t, df in star_tables(spark, folder).items() if "{" + t + "}" in ADAPTERS[name]}
-    return spark.sql(ADAPTERS[name], **used)
+    @cache
+    def table(self, name: str) -> DataFrame:
+        return self.spark.read.schema(STAR_SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
+    @cache
+    def input(self, name: str) -> DataFrame:
+        """One input of the marts."""
+        text = ADAPTERS[name]
+        used = {t: self.table(t) for t in STAR_SCHEMAS if "{" + t + "}" in text}
+        return self.spark.sql(text, **used)
 
-def star_inputs(spark: SparkSession, folder: str) -> Inputs:
-    return Inputs.of({name: adapted(spark, folder, name) for name in ADAPTERS})
+    def inputs(self) -> Inputs:
+        return Inputs.of({name: self.input(name) for name in ADAPTERS})
