@@ -49,20 +49,31 @@ def _in_table_order(spark: SparkSession, df: DataFrame, output: Output, table: s
 
 
 @contextmanager
-def _overwrite_mode(spark: SparkSession, mode: str) -> Iterator[None]:
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, mode)
+def _write_settings(spark: SparkSession, overwrite: str) -> Iterator[None]:
+    """Settings of one write, restored afterwards.
+
+    Small shuffle partitions stay apart up to one per core: each period is a file of its own whatever
+    its size, and one task should not have to write them all.
+    """
+    settings = {
+        "spark.sql.sources.partitionOverwriteMode": overwrite,
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def append(df: DataFrame, output: Output, table: str) -> None:
     spark = df.sparkSession
     require_output(spark, table)
-    _in_table_order(spark, df, output, table).write.insertInto(table)
+    with _write_settings(spark, "static"):
+        _in_table_order(spark, df, output, table).write.insertInto(table)
 
 
 def replace_periods(df: DataFrame, output: Output, table: str) -> None:
@@ -72,7 +83,7 @@ def replace_periods(df: DataFrame, output: Output, table: str) -> None:
     """
     spark = df.sparkSession
     require_output(spark, table)
-    with _overwrite_mode(spark, "dynamic"):
+    with _write_settings(spark, "dynamic"):
         _in_table_order(spark, df, output, table).write.insertInto(table, overwrite=True)
 
 
@@ -87,7 +98,7 @@ def clear_periods(spark: SparkSession, output: Output, table: str, day: str, onw
     days = sorted(str(row[0]) for row in wanted.select(period).distinct().collect())
     fields = [f for f in spark.table(table).schema if f.name != output.period]
     nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}" for f in fields)
-    with _overwrite_mode(spark, "static"):
+    with _write_settings(spark, "static"):
         for value in days:
             spark.sql(
                 f"INSERT OVERWRITE TABLE {table} PARTITION ({output.period} = DATE'{value}') "
