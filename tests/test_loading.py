@@ -1,0 +1,178 @@
+import uuid
+from datetime import date
+from decimal import Decimal
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from reelmart.functions.titles import sample_title_rules
+from reelmart.loading import periods as P
+from reelmart.loading.run import Run
+from reelmart.loading.tables import append, clear_periods, conformed, create_output, replace_periods
+from reelmart.plans.registry import OUTPUTS
+from reelmart.schemas import OUTPUT_DDL, output_schema
+from reelmart.session import checkpoint_dir, materialized, scratch_path
+
+DEVICE = OUTPUTS["device"]
+
+
+def bounds(spark, start, latest):
+    return spark.createDataFrame([(date.fromisoformat(start), date.fromisoformat(latest))], "START_DATE date, LATEST_DATE date")
+
+
+@pytest.mark.parametrize(
+    "start, latest, months",
+    [
+        ("2024-11-01", "2025-01-15", ["2024-11-30", "2024-12-31"]),
+        ("2024-11-01", "2024-11-30", ["2024-11-30"]),
+        ("2024-11-01", "2024-11-29", []),
+        ("2024-11-15", "2025-01-31", ["2024-12-31", "2025-01-31"]),
+        ("2025-02-01", "2025-01-15", []),
+    ],
+)
+def test_only_complete_months(spark, start, latest, months):
+    assert [r[1] for r in rows(P.month_calendar(bounds(spark, start, latest)), "*")] == months
+
+
+def source(spark, *keys):
+    return spark.createDataFrame([(k,) for k in keys], "REPORTING_DATE int")
+
+
+def loaded(spark, *months, name="MONTH"):
+    return spark.createDataFrame([(date.fromisoformat(m),) for m in months], f"{name} date")
+
+
+def test_bounds(spark):
+    facts = source(spark, 20250101, 20250315)
+    empty, some = loaded(spark), loaded(spark, "2024-12-31", "2025-01-31")
+    assert rows(P.month_bounds(facts, "REPORTING_DATE", empty), "*") == [("2024-11-01", "2025-03-15")]
+    assert rows(P.month_bounds(facts, "REPORTING_DATE", some), "*") == [("2025-02-01", "2025-03-15")]
+    days = loaded(spark, "2025-03-14", name="DATE")
+    assert rows(P.day_bounds(facts, "REPORTING_DATE", days), "*") == [("2025-03-15", "2025-03-15")]
+    assert rows(P.day_bounds(facts, "REPORTING_DATE", days.limit(0)), "*") == [("2024-10-01", "2025-03-15")]
+
+
+def test_pending_months_fill_gaps(spark):
+    facts, done = source(spark, 20250401), loaded(spark, "2024-11-30", "2025-01-31")
+    gaps = P.pending_months(facts, "REPORTING_DATE", done)
+    assert [r[1] for r in rows(gaps, "*")] == ["2024-12-31", "2025-02-28", "2025-03-31"]
+    strict = P.pending_months(facts, "REPORTING_DATE", done, strict_max=True)
+    assert [r[1] for r in rows(strict, "*")] == ["2025-02-28", "2025-03-31"]
+    assert P.as_periods(gaps) == [(20241201, 20241231), (20250201, 20250331)]
+    assert P.as_periods(gaps.limit(0)) == []
+
+
+def new_table(spark, output=DEVICE):
+    table = f"t_{uuid.uuid4().hex}"
+    create_output(spark, output, table, scratch_path(spark, output.name))
+    return table
+
+
+def device_rows(spark, *pairs):
+    return spark.createDataFrame([(date.fromisoformat(m), v) for m, v in pairs], "MONTH date, VIEWS long").select(
+        "VIEWS",
+        *[F.lit("x").alias(c) for c in ("CHANNEL_ID", "CHANNEL_NAME", "DEVICE_TYPE_NAME", "UPLOADER_TYPE")],
+        F.lit(Decimal("1.5")).alias("WATCH_TIME_MINUTES"),
+        *[F.lit("y").alias(c) for c in ("BRAND_ROLL_UP", "VIDEO_FORM", "US_NON_US", "PLATFORM")],
+        "MONTH",
+    )
+
+
+@pytest.mark.parametrize(
+    "name, width",
+    [("monthly_video", 36), ("daily_video", 36), ("demographics", 12), ("traffic", 15), ("device", 11), ("region", 16)],
+)
+def test_output_tables_are_typed(spark, name, width):
+    table = new_table(spark, OUTPUTS[name])
+    assert len(output_schema(name)) == width and set(OUTPUT_DDL) == set(OUTPUTS)
+    have = {f.name: f.dataType for f in spark.table(table).schema}
+    assert have == {f.name: f.dataType for f in output_schema(name)}
+    create_output(spark, OUTPUTS[name], table)  # present: left alone
+
+
+def test_writes_bind_by_name_and_replace_whole_periods(spark):
+    table = new_table(spark)
+    jan, feb, mar = "2025-01-31", "2025-02-28", "2025-03-31"
+    append(device_rows(spark, (jan, 1), (feb, 2)), DEVICE, table)
+    append(device_rows(spark, (jan, 3)), DEVICE, table)
+    assert rows(spark.table(table), "MONTH", "VIEWS", "PLATFORM", "CHANNEL_ID") == [
+        (jan, 1, "y", "x"),
+        (jan, 3, "y", "x"),
+        (feb, 2, "y", "x"),
+    ]
+    for _ in range(2):
+        replace_periods(device_rows(spark, (jan, 9), (mar, 4)), DEVICE, table)
+    assert rows(spark.table(table), "MONTH", "VIEWS") == [(jan, 9), (feb, 2), (mar, 4)]
+    assert clear_periods(spark, DEVICE, table, feb) == [feb]
+    assert rows(spark.table(table), "MONTH", "VIEWS") == [(jan, 9), (mar, 4)]
+    assert clear_periods(spark, DEVICE, table, "2025-02-01", onwards=True) == [mar]
+    assert rows(spark.table(table), "MONTH", "VIEWS") == [(jan, 9)]
+    assert clear_periods(spark, DEVICE, table, feb) == []
+
+
+def test_counts_are_rounded(spark):
+    df = device_rows(spark, ("2025-01-31", 1)).withColumn("VIEWS", F.lit(Decimal("2.5")))
+    assert rows(conformed(df, DEVICE), "VIEWS", "WATCH_TIME_MINUTES") == [(3, 1.5)]
+
+
+def test_missing_table_is_an_error(spark):
+    with pytest.raises(RuntimeError, match="does not exist"):
+        append(device_rows(spark, ("2025-01-31", 1)), DEVICE, "no_such_table")
+
+
+def test_checkpoint_folder_is_the_session_setting(spark):
+    folder = checkpoint_dir(spark)
+    assert folder == spark.conf.get("spark.checkpoint.dir") and scratch_path(spark, "x").startswith(folder)
+    assert materialized(spark.range(3)).count() == 3
+
+
+def fact(day, views, **more):
+    key = dict(CHANNEL_ID="c", VIDEO_ID="v", UPLOADER_TYPE="self", COUNTRY_CODE="US", WATCH_TIME_MINUTES=Decimal(1))
+    return {**key, "DATE": day, "REPORTING_DATE": day, "DEVICE_TYPE": 1, "VIEWS": views, **more}
+
+
+def make_run(spark, given, *names):
+    tag = uuid.uuid4().hex
+    run = Run(spark, given, sample_title_rules(), {n: f"r_{n}_{tag}" for n in names}, f"r_audit_{tag}")
+    run.create_tables(scratch_path(spark, "run"))
+    return run
+
+
+def test_run(spark, inputs):
+    facts = [fact(20241115, 1), fact(20241220, 2), fact(20250110, 3), fact(20250228, 4), fact(20250303, 5)]
+    device = [dict(DEVICE_TYPE=1, DEVICE_TYPE_NAME="TV")]
+    run = make_run(spark, inputs(basic=facts, combined=facts, device_dim=device), "device", "daily_video", "traffic")
+    spark.sql(f"DROP TABLE {run.tables['traffic']}")
+
+    audit = run.execute()
+    logged = rows(audit, "OUTPUT", "PERIOD_END", "STATUS", "ROWS")
+    assert [r for r in logged if r[0] == "device"] == [
+        ("device", "2024-11-30", "loaded", 1),
+        ("device", "2024-12-31", "loaded", 1),
+        ("device", "2025-01-31", "loaded", 1),
+        ("device", "2025-02-28", "loaded", 1),
+    ]
+    assert ("daily_video", "2025-03-03", "loaded", 5) in logged
+    assert ("traffic", None, "failed", None) in logged
+    assert "does not exist" in audit.where("OUTPUT = 'traffic'").first().MESSAGE
+
+    device_table = spark.table(run.tables["device"])
+    everything = [("2024-11-30", 1), ("2024-12-31", 2), ("2025-01-31", 3), ("2025-02-28", 4)]
+    assert rows(device_table, "MONTH", "VIEWS") == everything
+
+    run.log.clear()
+    run.run_id = "second"
+    again = run.execute()
+    assert {r[:3] for r in rows(again.where("OUTPUT <> 'traffic'"), "OUTPUT", "STATUS", "ROWS")} == {
+        ("device", "nothing new", 0),
+        ("daily_video", "nothing new", 0),
+    }
+    assert rows(spark.table(run.tables["device"]), "MONTH", "VIEWS") == everything
+
+    for arguments in (("2024-12-01, 2025-01-01",), ("2024-12-01", True)):
+        run.log.clear()
+        run.run_id = uuid.uuid4().hex
+        redone = run.execute(*arguments)
+        assert rows(redone.where("OUTPUT = 'daily_video'"), "*") == []
+        assert rows(spark.table(run.tables["device"]), "MONTH", "VIEWS") == everything
