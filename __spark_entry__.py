@@ -73,7 +73,7 @@ class Session:
 
     def __init__(self, spark: SparkSession, folder: str):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-        self.spark, self.folder = spark, folder
+        self.spark = spark
         self.star = Star(spark, folder)
 
     def __getattr__(self, name: str) -> DataFrame:
@@ -95,9 +95,6 @@ class Session:
         titled = D.map_video_title(self.demo, self.metadata, form=True)
         return D.map_channel(titled, self.dims.channels)
 
-    def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-
     def output_table(self, name: str) -> str:
         """A fresh output table in the shared scratch folder."""
         table = f"mart_{name}_{uuid.uuid4().hex}"
@@ -144,12 +141,12 @@ def _region_flags(s: Session) -> DataFrame:
 
 
 def _rule_table(s: Session) -> DataFrame:
-    rules = s.raw("benchmark").select(
+    rules = s.star.table("benchmark").select(
         F.col("item_id").alias("ordinal"),
         F.concat(F.lit("item "), F.col("item_id").cast("string")).alias("label"),
         F.array(F.lower("text")).alias("contains"),
     )
-    return s.raw("documents").select("doc_id", title_series("text", title_rules_from(rules)).alias("DOMO_SERIES_NAME"))
+    return s.star.table("documents").select("doc_id", title_series("text", title_rules_from(rules)).alias("DOMO_SERIES_NAME"))
 
 
 def _date_keys(s: Session) -> DataFrame:
@@ -267,7 +264,7 @@ _QUERIES: dict[str, Callable[[Session], DataFrame]] = {
     "title_series": lambda s: s.metadata.select(
         "VIDEO_ID", "VIDEO_TITLE", title_series("VIDEO_TITLE", sample_title_rules()).alias("DOMO_SERIES_NAME")
     ),
-    "title_series_texts": lambda s: s.raw("documents").select(
+    "title_series_texts": lambda s: s.star.table("documents").select(
         "doc_id", title_series("text", DOCUMENT_RULES).alias("DOMO_SERIES_NAME")
     ),
     "title_series_rule_table": _rule_table,

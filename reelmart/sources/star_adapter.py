@@ -215,9 +215,25 @@ STAR_SCHEMAS = {
     "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
     "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
     "region": "r_regionkey INT, r_name STRING",
+    "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
+    "benchmark": "item_id BIGINT, text STRING",
 }
 
 
+#: A key of each large table, to share its rows out by.
+ROW_KEYS = {"lineitem": ["l_orderkey", "l_linenumber"], "documents": ["doc_id"]}
+
+
+def spread(table: DataFrame, *keys: str) -> DataFrame:
+    """Share the rows of a table with fewer input splits than cores among all cores.
+
+    A Parquet row group is read by one task, so a small or badly written table would keep the other
+    cores idle during the costly steps behind the scan. A table of many splits is left alone.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores, *keys)
+
+
 class Star:
     """The star in one folder. Tables are opened once, with their schema given."""
 
@@ -227,7 +243,8 @@ class Star:
 
     @cache
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.schema(STAR_SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
+        table = self.spark.read.schema(STAR_SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
+        return spread(table, *ROW_KEYS[name]) if name in ROW_KEYS else table
 
     @cache
     def input(self, name: str) -> DataFrame:
