@@ -43,6 +43,7 @@ class Run:
     def __post_init__(self):
         self.dims = Dimensions(self.inputs, self.title_rules, keep=True)
         self.log: list[tuple] = []
+        self._latest: dict[str, DataFrame] = {}
 
     def create_tables(self, root: str | None = None) -> None:
         """Create absent outputs and the audit table, below ``root`` if given."""
@@ -58,6 +59,7 @@ class Run:
         months are rebuilt, or with ``reprocess_all`` everything from the earliest of them on. The
         daily output is not reprocessed.
         """
+        self._latest.clear()
         months = sorted(m.strip() for m in (months_to_reprocess or "").split(",") if m.strip())
         for name, table in self.tables.items():
             output = OUTPUTS[name]
@@ -75,7 +77,13 @@ class Run:
         return self._write_audit()
 
     def _source(self, output: Output) -> DataFrame:
-        return getattr(self.inputs, output.input)
+        """The latest day of the output's input, as a one-row table: a fact is searched for it once a run."""
+        if output.input not in self._latest:
+            latest = getattr(self.inputs, output.input).agg(F.max(output.input_date).cast("int")).first()[0]
+            if latest is None:
+                raise ValueError(f"input {output.input} has no {output.input_date}")
+            self._latest[output.input] = self.spark.createDataFrame([(latest,)], f"{output.input_date} int")
+        return self._latest[output.input]
 
     def _pending(self, output: Output, table: str) -> DataFrame:
         source, loaded = self._source(output), self.spark.table(table)

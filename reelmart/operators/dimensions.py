@@ -15,6 +15,32 @@ from reelmart.functions.program_ids import program_id
 from reelmart.functions.titles import TitleClause, title_form, title_series, video_form
 from reelmart.operators.lookups import Lookup, join_lookup, lookup
 
+# Joins by video.
+
+VIDEO_KEY = "_video"
+#: Tasks' worth of keys for the facts without a video id.
+NULL_SALTS = 1024
+
+
+def with_video_key(facts: DataFrame) -> DataFrame:
+    """Add the key for joins by video: the id, or for facts without one a value that matches nothing.
+
+    NULL ids would all meet in one task of a shuffled join, and however many they are, none of them
+    can match. The stand-ins (a NUL character and a hash of the row) spread them. Add the key once
+    before several joins, and the facts are shuffled once for all of them.
+    """
+    salt = F.pmod(F.xxhash64(*facts.columns), F.lit(NULL_SALTS)).cast("string")
+    return facts.withColumn(VIDEO_KEY, F.coalesce("VIDEO_ID", F.concat(F.lit("\0"), salt)))
+
+
+def join_by_video(facts: DataFrame, dim: DataFrame) -> DataFrame:
+    """Left join with a dimension by VIDEO_ID."""
+    keyed = facts if VIDEO_KEY in facts.columns else with_video_key(facts)
+    dim = dim.withColumnRenamed("VIDEO_ID", "_video_id")
+    joined = keyed.join(dim, F.col(VIDEO_KEY) == F.col("_video_id"), "left").drop("_video_id")
+    return joined if VIDEO_KEY in facts.columns else joined.drop(VIDEO_KEY)
+
+
 # Titles and forms, by video.
 
 
@@ -33,9 +59,9 @@ def map_video_title(facts: DataFrame, metadata: DataFrame, form: bool = False) -
     With ``form`` also VIDEO_FORM; the title is searched once per metadata row, not per fact.
     """
     if not form:
-        return facts.join(video_titles(metadata), "VIDEO_ID", "left")
+        return join_by_video(facts, video_titles(metadata))
     titles = video_titles(metadata).withColumn("TITLE_FORM", title_form("VIDEO_TITLE", "DURATION"))
-    titled = facts.join(titles, "VIDEO_ID", "left")
+    titled = join_by_video(facts, titles)
     return titled.withColumn("VIDEO_FORM", video_form("UPLOADER_TYPE", "TITLE_FORM")).drop("TITLE_FORM")
 
 
@@ -143,7 +169,7 @@ def corrected_series(programs: DataFrame, corrected: Lookup) -> DataFrame:
 
 def map_series(facts: DataFrame, series_by_video: DataFrame) -> DataFrame:
     """Join series by video; a video without metadata gets the id -1 and the name ``other``."""
-    joined = facts.join(series_by_video.withColumn("_known", F.lit(True)), "VIDEO_ID", "left")
+    joined = join_by_video(facts, series_by_video.withColumn("_known", F.lit(True)))
     return joined.withColumns(
         {
             "SERIES_ID": F.when(F.col("_known"), F.col("SERIES_ID")).otherwise(V.NO_SERIES_ID),

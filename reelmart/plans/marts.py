@@ -17,11 +17,13 @@ from reelmart.functions.dates import month_of_key
 from reelmart.functions.titles import video_form
 from reelmart.operators.combine import demo_totals, region_views_revenue, video_measures
 from reelmart.operators.dimensions import (
+    join_by_video,
     map_channel,
     map_parent_series,
     map_series,
     map_video_title,
     times,
+    with_video_key,
 )
 from reelmart.operators.facts import COUNT_SUMS, Periods, combined_by_code, sums
 from reelmart.operators.lookups import join_lookup
@@ -69,10 +71,10 @@ VIDEO_COLUMNS = [
 def video_mart(dims: Dimensions, grain: str, periods: Periods = None) -> DataFrame:
     """One row per month or day, channel, video, uploader and US/Non-US, with everything known of the video.
 
-    Both joins with the metadata are on the video id, so the measures are shuffled for them once.
+    Both joins with the metadata are on the same key, so the measures are shuffled for them once.
     """
     inputs = dims.inputs
-    measures = video_measures(inputs.basic, inputs.revenue, grain, periods)
+    measures = with_video_key(video_measures(inputs.basic, inputs.revenue, grain, periods))
     titled = map_video_title(measures, inputs.metadata, form=True)
     named = map_channel(map_parent_series(map_series(titled, dims.series_by_video), dims.parents), dims.channels)
     return named.select("PLATFORM", "MONTH" if grain == "monthly" else "DATE", *VIDEO_COLUMNS)
@@ -80,7 +82,7 @@ def video_mart(dims: Dimensions, grain: str, periods: Periods = None) -> DataFra
 
 def _with_forms(facts: DataFrame, dims: Dimensions, measures: list[str]) -> DataFrame:
     """Add VIDEO_FORM by video and count the measures once per matching metadata row."""
-    joined = facts.join(dims.forms, "VIDEO_ID", "left")
+    joined = join_by_video(facts, dims.forms)
     copies = F.coalesce("FORM_COPIES", F.lit(1).cast("long"))
     return joined.withColumns(
         {"VIDEO_FORM": video_form("UPLOADER_TYPE", "TITLE_FORM"), **{m: times(facts, m, copies) for m in measures}}
@@ -111,7 +113,7 @@ def traffic_mart(dims: Dimensions, periods: Periods = None) -> DataFrame:
     """Own views by month, series, channel, form, traffic category and US/Non-US."""
     month = month_of_key("DATE").alias("MONTH")
     coded = combined_by_code(dims.inputs.combined, "TRAFFIC_SOURCE_TYPE", periods, month)
-    formed = _with_forms(coded, dims, COUNT_SUMS)
+    formed = _with_forms(with_video_key(coded), dims, COUNT_SUMS)
     serial = map_series(formed, dims.series_copies)
     copies = F.coalesce("SERIES_COPIES", F.lit(1).cast("long"))
     keys = ["MONTH", "SERIES_ID", "SERIES_NAME", "CHANNEL_ID", "VIDEO_FORM", "UPLOADER_TYPE", "US_NON_US"]

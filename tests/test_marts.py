@@ -25,7 +25,7 @@ def star_dims(star):
     return Dimensions(star, sample_title_rules())
 
 
-def plan(df, tmp=[]):
+def plan(df):
     return df._jdf.queryExecution().explainString(
         df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
     )
@@ -138,6 +138,17 @@ def test_plans_hold_no_python_and_no_cartesian(star_dims, name):
         assert node not in text, node
 
 
+def test_facts_are_shuffled_once_for_both_joins_by_video(spark, star_dims):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(M.video_mart(star_dims, "monthly"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    exchanges = [b for b in text.split("\n\n") if "Exchange" in b and "hashpartitioning(_video" in b]
+    assert len([b for b in exchanges if "hashpartitioning(_video#" in b]) == 1
+    assert len([b for b in exchanges if "hashpartitioning(_video_id#" in b]) == 2
+
+
 def test_date_window_and_columns_reach_the_scan(spark, inputs):
     folder = scratch_path(spark, "facts")
     empty = inputs()

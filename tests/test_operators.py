@@ -280,3 +280,11 @@ def test_brand_table_has_no_default(spark, table):
     facts = spark.createDataFrame([("known",), ("unknown",), (None,)], "CHANNEL_NAME string")
     brands = table("brand_map", dict(CHANNEL_NAME="known", BRAND_ROLL_UP="b"))
     assert rows(D.map_brand_from_table(facts, brands), "*") == sorted([("known", "b"), ("unknown", None), (None, None)], key=str)
+
+
+def test_facts_without_a_video_id_are_spread(spark, table):
+    facts = spark.range(1000).select("id", F.when(F.col("id") % 2 == 0, "v").alias("VIDEO_ID"))
+    keyed = D.with_video_key(facts)
+    assert keyed.where("VIDEO_ID IS NULL").select(D.VIDEO_KEY).distinct().count() > 300
+    titled = D.map_video_title(facts, table("metadata", meta("v", "t"), meta(None, "never")))
+    assert rows(titled.groupBy("VIDEO_ID", "VIDEO_TITLE").count(), "*") == [("v", "t", 500), (None, None, 500)]
