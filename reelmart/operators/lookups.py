@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
-from operator import and_
+from operator import add, and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,10 +30,10 @@ class Lookup:
 
 
 def lookup(rows: DataFrame, *keys: str, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> Lookup:
-    """Measure a dimension once. The count stops at the bound, whatever the size of the table."""
+    """Measure a dimension, by one aggregation over it, and note whether it may be broadcast."""
     texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in rows.schema if isinstance(f.dataType, T.StringType)]
-    text_bytes = reduce(lambda a, b: a + b, texts, F.lit(0)).cast("long")
-    n, size = rows.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(text_bytes), F.lit(0))).first()
+    text_bytes = reduce(add, texts, F.lit(0)).cast("long")
+    n, size = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(text_bytes), F.lit(0))).first()
     return Lookup(rows, keys, n <= max_rows and size + 16 * n * len(rows.columns) <= max_bytes)
 
 

@@ -134,14 +134,14 @@ _METADATA = f"""
                 WHEN 4 THEN 'AB_' || CAST(10000 + p_partkey AS STRING) || '_X'
                 WHEN 6 THEN CASE p_partkey % 16 WHEN 6 THEN '12.7' ELSE '0000' END
                 ELSE NULL END AS THIRD_PARTY_VIDEO_ID,
-           p_partkey
+           p_size
     FROM {{part}}"""
-# One video in fifty is listed twice, the second time under a title of its own.
+# The longest videos are listed twice, the second time under a title of their own.
 _META_COLUMNS = """VIDEO_LENGTH, TIME_UPLOADED, CHANNEL_ID, CHANNEL_DISPLAY_NAME, CUSTOM_ID, THIRD_PARTY_VIDEO_ID"""
 METADATA = f"""
     SELECT VIDEO_ID, VIDEO_TITLE, {_META_COLUMNS} FROM ({_METADATA}) m
     UNION ALL
-    SELECT VIDEO_ID, VIDEO_TITLE || ' compilation', {_META_COLUMNS} FROM ({_METADATA}) m WHERE p_partkey % 50 = 7"""
+    SELECT VIDEO_ID, VIDEO_TITLE || ' compilation', {_META_COLUMNS} FROM ({_METADATA}) m WHERE p_size = 50"""
 
 PROGRAM = """
     SELECT 10000 + p_partkey AS PROGRAM_ID,
@@ -157,7 +157,7 @@ SERIES = """
     SELECT 500 + s_suppkey AS PARENT_SERIES_ID,
            CASE WHEN s_suppkey % 6 = 0 THEN NULL ELSE s_name END AS PARENT_SERIES_NAME FROM {supplier}
     UNION ALL
-    SELECT 500 + s_suppkey, 'A second name ' || CAST(s_nationkey AS STRING) FROM {supplier} WHERE s_suppkey % 3 = 0"""
+    SELECT 500 + s_suppkey, 'A second name ' || CAST(s_nationkey AS STRING) FROM {supplier} WHERE s_acctbal > 5000"""
 
 CORRECTED_SERIES = """
     SELECT CASE n_nationkey WHEN 0 THEN 'Red Widget' WHEN 1 THEN 'Cold Gear' WHEN 2 THEN 'Hot Rod'
