@@ -164,6 +164,7 @@ def demo_totals(basic: DataFrame, demographics: DataFrame, periods: Periods = No
         "UNSPECIFIED_VIEWS": _products("UNSPECIFIED_SHARE")[0],
     }
     keys = [month_of_key("REPORTING_DATE").alias("MONTH"), "VIDEO_ID", "CHANNEL_ID"]
+    # Eight decimals are what the report shows, and leave room for large sums times their copies.
     return joined.groupBy(*keys, F.col("UPLOADER_CODE").alias("UPLOADER_TYPE")).agg(
-        *[F.sum(m).alias(name) for name, m in measures.items()]
+        *[F.sum(m).cast("decimal(38,8)").alias(name) for name, m in measures.items()]
     )

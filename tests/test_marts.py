@@ -196,6 +196,27 @@ def test_one_video_with_a_third_of_all_rows(spark, dims, inputs):
     assert rows(got.where("VIDEO_ID = 'hot'"), "VIEWS", "WATCH_TIME_MINUTES") == [(1000, 1000.0)]
 
 
+def test_large_sums_fit(dims):
+    big = dict(KEY, VIEWS=10**15, WATCH_TIME_MINUTES=Decimal(5 * 10**12))
+    share = dict(KEY, REPORTING_DATE=20250105, UPLOADER_CODE="self", GENDER="MALE", AGE_GROUP="AGE_65_", VIEW_PERCENTAGE=100.0)
+    money = dict(KEY, DATE=20250105, AD_IMPRESSIONS=10**12, ESTIMATED_PARTNER_REVENUE=Decimal(10**12))
+    d = dims(
+        basic=[dict(big, REPORTING_DATE=20250105)],
+        revenue=[dict(money, ESTIMATED_YOUTUBE_AD_REVENUE=Decimal(10**12), ESTIMATED_CPM=Decimal(10**9))],
+        demographics=[share] * 3,
+        combined=[dict(big, DATE=20250105, TRAFFIC_SOURCE_TYPE=1, DEVICE_TYPE=1)],
+        metadata=[meta("clip")] * 3,
+        country_info=[dict(COUNTRY_CODE="US", CONTINENT="North America")],
+        device_dim=[dict(DEVICE_TYPE=1, DEVICE_TYPE_NAME="TV")],
+    )
+    demographics = rows(M.demographics_mart(d), "VIDEO_FORM", "VIEWS", "WATCH_TIME_MINUTES", "MEDIAN_AGE")
+    assert demographics == [("ALL", 9e15, 45e12, 70.0), ("Short Form", 9e15, 45e12, 70.0)]
+    assert rows(M.device_mart(d), "VIEWS", "WATCH_TIME_MINUTES") == [(3 * 10**15, 15e12)]
+    assert rows(M.traffic_mart(d), "VIEWS", "WATCH_TIME_MINUTES") == [(9 * 10**15, 45e12)]
+    assert rows(M.region_mart(d), "VIEWS", "ESTIMATED_PARTNER_REVENUE") == [(3 * 10**15, 3e12)]
+    assert rows(M.video_mart(d, "monthly").distinct(), "CALCULATED_CPM", "ESTIMATED_CPM") == [(1000.0, 1e9)]
+
+
 def test_inputs_name_missing_columns(inputs):
     good = inputs()
     with pytest.raises(ValueError, match="basic lacks VIEWS"):
