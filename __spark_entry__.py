@@ -293,9 +293,7 @@ _QUERIES: dict[str, Callable[[Session], DataFrame]] = {
         _views_by(_named_views(s), "CHANNEL_ID", "CHANNEL_NAME"), s.brand_map
     ),
     "repeated_videos": lambda s: D.repeated_videos(s.metadata),
-    "program_lookup": lambda s: s.dims.programs.drop(
-        "CUSTOM_ID", "THIRD_PARTY_VIDEO_ID", "DURATION", "PUBLISHED_DATE"
-    ),
+    "program_lookup": lambda s: D.repeated(s.dims.programs).drop("CUSTOM_ID", "THIRD_PARTY_VIDEO_ID"),
     "series_correction": lambda s: _video_key(
         D.map_series(s.months, s.dims.series_by_video), "VIEWS", "EXTRACTED_PPL_ID", "SERIES_ID", "SERIES_NAME"
     ),

@@ -124,15 +124,31 @@ def program_table(program: DataFrame) -> DataFrame:
     )
 
 
-def video_programs(metadata: DataFrame, program: Lookup, clauses: Iterable[TitleClause]) -> DataFrame:
-    """Each metadata row with its program id, the series its title suggests, and the program's row."""
-    identified = metadata.select(
-        "VIDEO_ID",
-        "CUSTOM_ID",
-        "THIRD_PARTY_VIDEO_ID",
-        "VIDEO_TITLE",
-        F.col("VIDEO_LENGTH").alias("DURATION"),
-        F.col("TIME_UPLOADED").alias("PUBLISHED_DATE"),
+def metadata_rows(metadata: DataFrame) -> DataFrame:
+    """What programs and series need of the metadata, with equal rows counted instead of repeated.
+
+    However often a video is listed, its copies are one row for the rules and the joins that follow.
+    """
+    identifiers = ["VIDEO_ID", "CUSTOM_ID", "THIRD_PARTY_VIDEO_ID", "VIDEO_TITLE"]
+    return metadata.groupBy(*identifiers).agg(F.count(F.lit(1)).alias("COPIES"))
+
+
+def repeated(rows: DataFrame) -> DataFrame:
+    """Each row as often as its COPIES say, without that column; in two steps, to keep the arrays short."""
+    step = 10_000
+    blocks = F.sequence(F.lit(0).cast("long"), F.floor((F.col("COPIES") - 1) / step))
+    left = F.least(F.lit(step).cast("long"), F.col("COPIES") - F.col("_block") * step)
+    return (
+        rows.withColumn("_block", F.explode(blocks))
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), left)))
+        .drop("_block", "_copy", "COPIES")
+    )
+
+
+def video_programs(rows: DataFrame, program: Lookup, clauses: Iterable[TitleClause]) -> DataFrame:
+    """Metadata rows with their program id, the series the title suggests, and the program's row."""
+    identified = rows.select(
+        "*",
         program_id().alias("EXTRACTED_PPL_ID"),
         title_series("VIDEO_TITLE", clauses).alias("DOMO_SERIES_NAME"),
     )
@@ -148,7 +164,7 @@ def corrected_table(corrected_series: DataFrame) -> DataFrame:
 
 
 def corrected_series(programs: DataFrame, corrected: Lookup) -> DataFrame:
-    """Series of each metadata row: the program's, else the corrected one, else none.
+    """Series of each row of :func:`video_programs`: the program's, else the corrected one, else none.
 
     Without either id, a program whose series name agrees with the title's label keeps an unknown
     id (NULL); all other videos get the id -1. The name is a LIKE pattern: percent signs and
@@ -161,6 +177,7 @@ def corrected_series(programs: DataFrame, corrected: Lookup) -> DataFrame:
     fallback = F.when(agrees, F.lit(None).cast("string")).otherwise(V.NO_SERIES_ID)
     return resolved.select(
         "VIDEO_ID",
+        "COPIES",
         "EXTRACTED_PPL_ID",
         F.coalesce("SERIES_ID", "CORRECTED_SERIES_ID", fallback).alias("SERIES_ID"),
         F.coalesce("SERIES_NAME", "CORRECTED_PPL_SERIES_NAME", F.lit(V.NO_SERIES_NAME)).alias("SERIES_NAME"),
@@ -178,10 +195,10 @@ def map_series(facts: DataFrame, series_by_video: DataFrame) -> DataFrame:
     ).drop("_known")
 
 
-def series_copies(series_by_video: DataFrame) -> DataFrame:
+def series_copies(resolved: DataFrame) -> DataFrame:
     """Distinct series of each video and how many metadata rows lead to them."""
     keys = ["VIDEO_ID", "SERIES_ID", "SERIES_NAME"]
-    return series_by_video.groupBy(*keys).agg(F.count(F.lit(1)).alias("SERIES_COPIES"))
+    return resolved.groupBy(*keys).agg(F.sum("COPIES").alias("SERIES_COPIES"))
 
 
 def first_parent_ids(program: DataFrame) -> DataFrame:

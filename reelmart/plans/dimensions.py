@@ -35,16 +35,20 @@ class Dimensions:
     @cached_property
     def programs(self) -> DataFrame:
         program = lookup(D.program_table(self.inputs.program), "PROGRAM_ID")
-        return D.video_programs(self.inputs.metadata, program, self.title_rules)
+        return D.video_programs(D.metadata_rows(self.inputs.metadata), program, self.title_rules)
 
     @cached_property
-    def series_by_video(self) -> DataFrame:
+    def resolved_series(self) -> DataFrame:
         corrected = lookup(D.corrected_table(self.inputs.corrected_series), "DOMO_SERIES_NAME")
         return self._kept(D.corrected_series(self.programs, corrected))
 
+    @cached_property
+    def series_by_video(self) -> DataFrame:
+        return D.repeated(self.resolved_series)
+
     @cached_property
     def series_copies(self) -> DataFrame:
-        return D.series_copies(self.series_by_video)
+        return D.series_copies(self.resolved_series)
 
     @cached_property
     def channels(self) -> Lookup:

@@ -257,7 +257,8 @@ def test_series_correction_order(spark):
         [("Fixed", "90", "Ninety")],
         "DOMO_SERIES_NAME string, CORRECTED_SERIES_ID string, CORRECTED_PPL_SERIES_NAME string",
     )
-    got = D.corrected_series(spark.createDataFrame(programs, schema), lookup(corrected, "DOMO_SERIES_NAME"))
+    rows_ = spark.createDataFrame(programs, schema).withColumn("COPIES", F.lit(1).cast("long"))
+    got = D.corrected_series(rows_, lookup(corrected, "DOMO_SERIES_NAME")).drop("COPIES")
     assert {r.VIDEO_ID: (r.SERIES_ID, r.SERIES_NAME) for r in got.collect()} == {
         "program wins": ("10", "Ten"),
         "corrected": ("90", "Ninety"),
@@ -288,3 +289,12 @@ def test_facts_without_a_video_id_are_spread(spark, table):
     assert keyed.where("VIDEO_ID IS NULL").select(D.VIDEO_KEY).distinct().count() > 300
     titled = D.map_video_title(facts, table("metadata", meta("v", "t"), meta(None, "never")))
     assert rows(titled.groupBy("VIDEO_ID", "VIDEO_TITLE").count(), "*") == [("v", "t", 500), (None, None, 500)]
+
+
+def test_copies_are_counted_and_repeated(table):
+    m = table("metadata", *[meta("v", "t", TIME_UPLOADED=str(n)) for n in range(3)], meta("v", None), meta("v", None), meta("w"))
+    counted = D.metadata_rows(m)
+    assert rows(counted, "VIDEO_ID", "VIDEO_TITLE", "COPIES") == [("v", "t", 3), ("v", None, 2), ("w", "clip", 1)]
+    assert rows(D.repeated(counted), "VIDEO_ID", "VIDEO_TITLE") == rows(m, "VIDEO_ID", "VIDEO_TITLE")
+    many = counted.withColumn("COPIES", F.col("COPIES") * 10_000 - 1)
+    assert D.repeated(many).count() == 60_000 - 3
