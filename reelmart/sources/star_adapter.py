@@ -225,13 +225,14 @@ ROW_KEYS = {"lineitem": ["l_orderkey", "l_linenumber"], "documents": ["doc_id"]}
 
 
 def spread(table: DataFrame, *keys: str) -> DataFrame:
-    """Share the rows of a table with fewer input splits than cores among all cores.
+    """Share the rows of a table with few input splits among all cores.
 
     A Parquet row group is read by one task, so a small or badly written table would keep the other
-    cores idle during the costly steps behind the scan. A table of many splits is left alone.
+    cores idle during the costly steps behind the scan. A table that is split well enough is left
+    alone; its raw rows are never shuffled.
     """
     cores = table.sparkSession.sparkContext.defaultParallelism
-    return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores, *keys)
+    return table if 2 * table.rdd.getNumPartitions() > cores else table.repartition(cores, *keys)
 
 
 class Star:
