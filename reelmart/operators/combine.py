@@ -19,6 +19,7 @@ from reelmart.operators.facts import (
     Periods,
     demo_rows,
     in_periods,
+    mean,
     own_views,
     region_revenue,
     region_views,
@@ -45,8 +46,8 @@ def views_revenue_full(basic: DataFrame, revenue: DataFrame, periods: Periods =
     both = view_rows(basic, periods).unionByName(
         revenue.where(in_periods("DATE", periods)), allowMissingColumns=True
     )
-    rates = [F.avg(c).alias(c) for c in ("ANNOTATION_CLICK_THROUGH_RATE", "ESTIMATED_CPM")]
-    out = both.groupBy(*DAY_KEYS).agg(*sums(VIEW_SUMS), *sums(REVENUE_SUMS), *rates)
+    means = [mean("ANNOTATION_CLICK_THROUGH_RATE"), mean("ESTIMATED_CPM")]
+    out = both.groupBy(*DAY_KEYS).agg(*sums(VIEW_SUMS), *sums(REVENUE_SUMS), *means)
     return out.select(F.lit(V.PLATFORM).alias("PLATFORM"), "*")
 
 

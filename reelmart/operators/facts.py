@@ -48,19 +48,24 @@ def sums(names: Iterable[str]) -> list[Column]:
     return [F.sum(name).alias(name) for name in names]
 
 
+def mean(name: str) -> Column:
+    """Average kept to sixteen decimals; that of a short decimal would be cut to a few digits."""
+    return F.avg(F.col(name).cast("decimal(30,12)")).alias(name)
+
+
 def view_rows(basic: DataFrame, periods: Periods = None) -> DataFrame:
     """The views fact of a date window, with its day key under the common name."""
     return basic.where(in_periods("REPORTING_DATE", periods)).withColumnRenamed("REPORTING_DATE", "DATE")
 
 
 def views_daily(basic: DataFrame, periods: Periods = None) -> DataFrame:
-    rate = F.avg("ANNOTATION_CLICK_THROUGH_RATE").alias("ANNOTATION_CLICK_THROUGH_RATE")
+    rate = mean("ANNOTATION_CLICK_THROUGH_RATE")
     return view_rows(basic, periods).groupBy(*DAY_KEYS).agg(*sums(VIEW_SUMS), rate)
 
 
 def revenue_daily(revenue: DataFrame, periods: Periods = None) -> DataFrame:
-    cpm = F.avg("ESTIMATED_CPM").alias("ESTIMATED_CPM")
-    return revenue.where(in_periods("DATE", periods)).groupBy(*DAY_KEYS).agg(*sums(REVENUE_SUMS), cpm)
+    paid = revenue.where(in_periods("DATE", periods))
+    return paid.groupBy(*DAY_KEYS).agg(*sums(REVENUE_SUMS), mean("ESTIMATED_CPM"))
 
 
 def region_views(basic: DataFrame, periods: Periods = None) -> DataFrame:

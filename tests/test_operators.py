@@ -64,6 +64,14 @@ def test_cpm_is_an_average_of_averages(table):
         C.video_measures(table("basic"), table("revenue"), "weekly")
 
 
+def test_averages_of_short_decimals_are_not_cut(table):
+    short = table("revenue", *[money(20250101, dec(n)) for n in (1, 1, 2)]).withColumn(
+        "ESTIMATED_CPM", F.col("ESTIMATED_CPM").cast("decimal(4,2)")
+    )
+    [(cpm,)] = rows(C.video_measures(table("basic"), short, "daily"), "ESTIMATED_CPM")
+    assert abs(cpm - 4 / 3) < 1e-12
+
+
 def test_periods_limit_both_facts(table):
     basic = [view(d, 1) for d in (20241231, 20250101, 20250131, 20250201)]
     revenue = [money(d, dec(1), AD_IMPRESSIONS=1) for d in (20241231, 20250115)]
