@@ -60,7 +60,7 @@ def portable(df: DataFrame) -> DataFrame:
         elif isinstance(kind, T.DecimalType) and kind.scale == 0:
             c = c.cast("long")
         elif isinstance(kind, T.DecimalType):
-            c = (c.cast("decimal(38,7)") if kind.scale > 7 else c).cast("double")
+            c = (c.cast("decimal(38,7)") if kind.scale > 8 else c).cast("double")
         elif isinstance(kind, T.DoubleType):
             c = F.round(c, 8)
         return c.alias(f.name)

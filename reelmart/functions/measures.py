@@ -20,6 +20,16 @@ def cost_per_mille(revenue: Column, impressions: Column) -> Column:
     return (signed.cast("decimal(20,0)") * Decimal("0.001")).cast("decimal(38,3)")
 
 
+def ratio(part: Column, whole: Column) -> Column:
+    """``part / whole`` of two counts or amounts, to eight places, half up; NULL without a whole.
+
+    By integer division like the above: the quotient of two doubles misses exact halves.
+    """
+    part, whole = part.cast("decimal(27,8)"), F.nullif(whole, F.lit(0)).cast("decimal(27,8)")
+    units = F.call_function("div", part * Decimal(200_000_000) + whole, whole * Decimal(2))
+    return (units.cast("decimal(20,0)") * Decimal("0.00000001")).cast("decimal(38,8)")
+
+
 def percentage(part: Column, whole: Column) -> Column:
-    """``100 * part / whole`` as a double; NULL when the whole is zero or missing."""
-    return F.try_divide(part.cast("double"), whole.cast("double")) * 100
+    """``100 * part / whole`` with the precision of :func:`ratio`."""
+    return ratio(part.cast("decimal(25,8)") * Decimal(100), whole)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from reelmart.functions import fixed_values as V
 from reelmart.functions.dates import month_of_key
-from reelmart.functions.measures import percentage
+from reelmart.functions.measures import percentage, ratio
 from reelmart.operators.lookups import join_lookup, lookup
 
 PROFILE_SUMS = ["VIEWS", "WATCH_TIME_MINUTES", "AGE_VIEWS", "MALE_VIEWS", "FEMALE_VIEWS", "UNSPECIFIED_VIEWS"]
@@ -25,7 +25,7 @@ def profile_columns() -> list[Column]:
     return [
         F.col("VIEWS"),
         F.col("WATCH_TIME_MINUTES"),
-        F.try_divide(F.col("AGE_VIEWS").cast("double"), total.cast("double")).alias("MEDIAN_AGE"),
+        ratio(F.col("AGE_VIEWS"), total).alias("MEDIAN_AGE"),
         percentage(F.col("MALE_VIEWS"), total).alias("PERCENTAGE_MALE"),
         percentage(F.col("FEMALE_VIEWS"), total).alias("PERCENTAGE_FEMALE"),
         percentage(F.col("UNSPECIFIED_VIEWS"), total).alias("PERCENTAGE_OTHER"),

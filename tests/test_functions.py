@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from reelmart.functions import buckets as B
 from reelmart.functions import fixed_values as V
 from reelmart.functions.dates import day_of_key, in_periods, key_of_day, month_of_key, upload_time
-from reelmart.functions.measures import cost_per_mille, percentage
+from reelmart.functions.measures import cost_per_mille, percentage, ratio
 from reelmart.functions.program_ids import program_id
 from reelmart.functions.titles import (
     TitleClause,
@@ -209,6 +209,16 @@ def test_percentage_of_nothing(spark):
     assert [r[0] for r in df.select(percentage(F.col("p"), F.col("w"))).collect()] == [None, None, 25.0]
 
 
+def test_ratio_rounds_halves_up(spark):
+    df = spark.createDataFrame(
+        [(Decimal("4842.1275"), Decimal("134.4")), (Decimal(2), Decimal(3)), (Decimal(1), Decimal(128)), (None, Decimal(1))],
+        "p decimal(38,8), w decimal(38,8)",
+    )
+    got = [r[0] for r in df.select(ratio(F.col("p"), F.col("w"))).collect()]
+    # 4842.1275 / 134.4 is 36.027734375 exactly.
+    assert got == [Decimal("36.02773438"), Decimal("0.66666667"), Decimal("0.00781250"), None]
+
+
 def test_dates(spark):
     df = spark.createDataFrame([(20240229, "2024/02/29 23:59:59"), (20250131, "bad"), (None, None)], "k int, t string")
     assert rows(df, day_of_key("k"), month_of_key("k"), key_of_day(day_of_key("k"))) == [
