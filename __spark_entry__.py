@@ -38,6 +38,19 @@ from reelmart.plans.registry import OUTPUTS  # noqa: E402
 from reelmart.session import scratch_path  # noqa: E402
 from reelmart.sources.star_adapter import Star  # noqa: E402
 
+_MORE: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_MORE_SQL: dict[str, str] = {}
+try:
+    import corpus_pipeline
+    from reelmart.llm.queries import ORACLES as LLM_ORACLES
+    from reelmart.llm.queries import QUERIES as LLM_QUERIES
+except ModuleNotFoundError as missing:  # the library works without the subpackage, but not with a broken one
+    if missing.name not in ("corpus_pipeline", "reelmart.llm", "reelmart.llm.queries"):
+        raise
+else:
+    _MORE = {**LLM_QUERIES, "pipeline": corpus_pipeline.run}
+    _MORE_SQL = {**LLM_ORACLES, **({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})}
+
 DOCUMENT_RULES = [
     TitleClause(1, "Double the", ("theth",)),
     TitleClause(2, "French sound", ("eaux",)),
@@ -346,8 +359,8 @@ def _query(build: Callable[[Session], DataFrame]) -> Callable[[SparkSession, str
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _query(build) for name, build in _QUERIES.items()}
+    return {name: _query(build) for name, build in _QUERIES.items()} | _MORE
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    return ORACLES | _MORE_SQL
