@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from reelmart.llm import mixing, sharding_bfd, simhash_vptree
+from reelmart.llm import mixing, sharding_bfd, simhash_vptree, substring_anchors
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -18,6 +19,12 @@ def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.Mix(_table(spark, folder, "documents")).taken()
 
 
+def op8_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents without the words of 20-word windows that also start earlier."""
+    kept = substring_anchors.without_repeats(_table(spark, folder, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """All documents: SimHash of 3-word shingles, linked at 2 or fewer differing bits."""
     return simhash_vptree.near_duplicates(_table(spark, folder, "documents"))
@@ -30,6 +37,7 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_mixing": op5_mixing,
+    "op8_substrings": op8_substrings,
     "op9_simhash": op9_simhash,
     "op10_sharding": op10_sharding,
 }

@@ -21,7 +21,7 @@ from itertools import islice, repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelmart.llm.scratch import written
@@ -46,8 +46,8 @@ def _fingerprint(words: list[bytes], shingle: int, parts: int) -> list[int]:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, parts: int = 1) -> DataFrame:
-    """doc_id, size (words), fp0 .. fp<parts-1> (the 64 bits as a signed long) of every whole text."""
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, size long, " + ", ".join(f"fp{i} long" for i in range(parts))
+    """doc_id, digest (of the text), size (words), fp0 .. fp<parts-1> (64 bits as a signed long) of every whole text."""
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, digest long, size long, " + ", ".join(f"fp{i} long" for i in range(parts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -58,11 +58,11 @@ def fingerprints(docs: DataFrame, shingle: int = 3, parts: int = 1) -> DataFrame
                 found.append(_fingerprint(words, shingle, parts))
             columns = np.array(found, np.int64).reshape(-1, parts).T
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), *(pa.array(np.ascontiguousarray(c)) for c in columns)],
-                names=["doc_id", "size", *(f"fp{i}" for i in range(parts))],
+                [batch.column("doc_id"), batch.column("digest"), pa.array(sizes, pa.int64()), *(pa.array(np.ascontiguousarray(c)) for c in columns)],
+                names=["doc_id", "digest", "size", *(f"fp{i}" for i in range(parts))],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", F.xxhash64("text").alias("digest"), "text").mapInArrow(run, schema)
 
 
 def _apart(a: np.ndarray, b) -> np.ndarray:
@@ -257,26 +257,49 @@ def components(edges: DataFrame) -> DataFrame:
         before = state
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 2, parts: int = 1, total: int | None = None, ratio: float | None = None, **more) -> DataFrame:
-    """doc_id, fingerprint (of the first 64 bits), component_id: the least doc_id that links reach.
+def grouped(prints: DataFrame, distance: int, total: int | None = None, ratio: float | None = None, **more) -> tuple[DataFrame, DataFrame]:
+    """The distinct points (id, root, first, least) and the rows of prints with their point's id.
 
-    Texts with equal fingerprints (and sizes, if a ratio is given) are one point from the start.
+    first is the least doc_id of the point, least the least (no id, doc_id, digest); root is the same for all points
+    that links reach. Rows of equal fingerprints (and sizes, if a ratio is given) are one point from the start.
     """
-    names = [f"fp{i}" for i in range(parts)]
-    point = ["size", *names] if ratio else names
-    prints = written(fingerprints(docs, shingle, parts), "fingerprints")
-    points = prints.groupBy(*point).agg(F.min("doc_id").alias("first"))
-    points = points.select(F.xxhash64(*point).alias("id") if ratio or parts > 1 else F.col("fp0").alias("id"), *([] if ratio else [F.lit(0).cast("long").alias("size")]), *point, "first")
+    point = [*(["size"] if ratio else []), *(c for c in prints.columns if c.startswith("fp"))]
+    rows = prints.withColumn("id", F.xxhash64(*point) if len(point) > 1 else F.col(point[0]))
+    points = rows.groupBy("id").agg(
+        *(F.first(c).alias(c) for c in dict.fromkeys(["size", *point])),
+        F.min("doc_id").alias("first"),
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")).alias("least"),
+    )
     points = written(points, "points")
     roots = components(links(points, distance, total, ratio, **more))
-    roots = written(roots.union(roots.select("root", "root")).distinct(), "roots")
-    linked = points.join(roots, F.col("id") == F.col("node"))
-    named = linked.groupBy("root").agg(F.min("first").alias("component_id"))
-    known = points.select("id", "first").join(roots.join(named, "root"), F.col("id") == F.col("node"), "left")
-    known = known.select("id", F.coalesce("component_id", "first").alias("component_id"))
-    key = F.xxhash64(*point) if ratio or parts > 1 else F.col("fp0")
-    return (
-        prints.withColumn("id", key)
-        .join(known, "id")
-        .select("doc_id", F.lower(F.lpad(F.hex("fp0"), 16, "0")).alias("fingerprint"), "component_id")
-    )
+    roots = roots.union(roots.select("root", "root")).distinct()
+    points = points.select("id", "first", "least").join(roots, F.col("id") == F.col("node"), "left")
+    return points.select("id", F.coalesce("root", "id").alias("root"), "first", "least"), rows
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFrame:
+    """doc_id, fingerprint, component_id: the least doc_id that links reach."""
+    points, rows = grouped(written(fingerprints(docs, shingle), "fingerprints"), distance)
+    points = written(points, "roots")
+    named = points.groupBy("root").agg(F.min("first").alias("component_id"))
+    known = points.join(named, "root").select("id", "component_id")
+    return rows.join(known, "id").select("doc_id", F.lower(F.lpad(F.hex("fp0"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def deduplicated(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, **more) -> DataFrame:
+    """One document of each group of near copies, with the columns of ``docs``: the one of the least doc_id, then digest.
+
+    Four fingerprints of 64 bits are compared. The share of differing bits estimates the angle between two texts'
+    shingle counts; texts that share ``similarity`` of all their shingles have a cosine of 2 s / (1 + s). The first
+    fingerprint searches with a margin of a standard deviation, all four decide, and the sizes in words must agree in
+    the same ratio. At this width the triangle bounds prune little: bands of sizes do most of the work.
+    """
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    spread = math.sqrt(share * (1 - share))
+    prints = written(fingerprints(docs, shingle, parts=4), "fingerprints")
+    points, _ = grouped(prints, int(64 * share + 8 * spread), int(256 * share + 16 * spread), similarity, **{"shard_rows": 20_000, **more})
+    keep = points.groupBy("root").agg(F.min("least").alias("least")).select("least.doc_id", "least.digest")
+    rows = docs.withColumn("_digest", F.xxhash64("text")).alias("d")
+    rows = rows.join(keep.alias("k"), F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("d._digest") == F.col("k.digest")), "left_semi")
+    copy = F.row_number().over(Window.partitionBy("doc_id", "_digest").orderBy(F.lit(0)))  # repeated rows
+    return rows.withColumn("_copy", copy).where("_copy = 1").select(*docs.columns)

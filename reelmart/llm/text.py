@@ -95,10 +95,13 @@ def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed:
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of every word."""
-    if not len(starts):
-        return np.zeros(0, np.uint64)
-    lo, hi = int(starts[0]), int(ends[-1])
-    return span_hashes(data[lo:hi], starts - lo, ends - lo)
+    out, first = np.zeros(len(starts), np.uint64), 0
+    while first < len(starts):  # hashes don't depend on where a run begins, so memory is that of a run
+        lo = int(starts[first])
+        last = max(first + 1, int(np.searchsorted(ends, lo + (2 << 20), "right")))
+        out[first:last] = span_hashes(data[lo : int(ends[last - 1])], starts[first:last] - lo, ends[first:last] - lo)
+        first = last
+    return out
 
 
 def window_hashes(words: np.ndarray, starts: np.ndarray, size: int, seed: int = 0) -> np.ndarray:
