@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelmart.llm import mixing, sharding_bfd, simhash_vptree, substring_anchors
+from reelmart.llm import mixing, scratch, sharding_bfd, simhash_vptree, substring_anchors, token_files
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -19,6 +20,14 @@ def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.Mix(_table(spark, folder, "documents")).taken()
 
 
+def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents as token ids in files of the shared folder, read back from there."""
+    path = scratch.folder(spark, "tokens")
+    docs = _table(spark, folder, "documents")
+    token_files.write(docs, path, public_tokenizers.path("word_bpe_49k.json"), end=2, shards=scratch.partitions(spark), width=2)
+    return token_files.read_checksums(spark, path, width=2)
+
+
 def op8_substrings(spark: SparkSession, folder: str) -> DataFrame:
     """All documents without the words of 20-word windows that also start earlier."""
     kept = substring_anchors.without_repeats(_table(spark, folder, "documents"))
@@ -37,6 +46,7 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_mixing": op5_mixing,
+    "op7_token_files": op7_token_files,
     "op8_substrings": op8_substrings,
     "op9_simhash": op9_simhash,
     "op10_sharding": op10_sharding,
