@@ -8,13 +8,34 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelmart.llm import mixing, scratch, sharding_bfd, simhash_vptree, substring_anchors, token_files
+from reelmart.llm import decontaminate_tiling, language_svm, mixing, quality_knn, scratch, sharding_bfd, simhash_vptree, substring_anchors, token_files
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents; learned from labels of rows that aren't held out (a fifth is)."""
+    docs, held = _table(spark, folder, "documents"), language_svm.fold("doc_id", 5) == 0
+    model = quality_knn.fit(docs, _table(spark, folder, "labels").where(~held))
+    scored = quality_knn.score(docs, model)
+    return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents of all that contain an item of the benchmark, with the share of the item that tiles cover."""
+    found = decontaminate_tiling.contained(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    return found.select("doc_id", "item_id", "covered")
+
+
+def op3_language(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents; learned from rows that aren't held out (a third is)."""
+    docs, held = _table(spark, folder, "documents"), language_svm.fold("doc_id", 3) == 1
+    found = language_svm.identify(docs, language_svm.fit(docs.where(~held)))
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
 def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents, sources by weights 3, 1, 2 to 150 % of all words, none above twice its size."""
     return mixing.Mix(_table(spark, folder, "documents")).taken()
@@ -45,6 +66,9 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
+    "op2_decontamination": op2_decontamination,
+    "op3_language": op3_language,
     "op5_mixing": op5_mixing,
     "op7_token_files": op7_token_files,
     "op8_substrings": op8_substrings,

@@ -24,11 +24,11 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)), ends
 
 
-def slices(offsets: np.ndarray, most: int = 2 << 20) -> Iterator[tuple[int, int]]:
-    """Runs of rows of about ``most`` bytes; a longer text is a run of its own, so memory follows the longest text."""
+def slices(offsets: np.ndarray, most: int = 2 << 20, rows: int = 1 << 62) -> Iterator[tuple[int, int]]:
+    """Runs of at most ``rows`` rows and about ``most`` bytes; a longer text is a run of its own."""
     row, n = 0, len(offsets) - 1
     while row < n:
-        end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + most, "right")) - 1)
+        end = min(max(row + 1, int(np.searchsorted(offsets, offsets[row] + most, "right")) - 1), row + rows)
         yield row, end
         row = end
 
