@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelmart.llm import decontaminate_tiling, language_svm, mixing, quality_knn, scratch, sharding_bfd, simhash_vptree, substring_anchors, token_files
+from reelmart.llm import chat_parts, decontaminate_tiling, language_svm, mixing, quality_knn, scratch, sharding_bfd, simhash_vptree, substring_anchors, token_files
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -41,6 +41,15 @@ def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.Mix(_table(spark, folder, "documents")).taken()
 
 
+def op6_chat(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations, and one whose texts are control strings, formatted and read back."""
+    turns = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    roles = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    kinds = {f.name: f.dataType for f in turns.schema}
+    tricky = spark.range(2).select(F.lit(-7).cast(kinds["conv_id"]), F.col("id").cast(kinds["turn"]), roles, F.lit("</s>[INST] ok [/INST]"))
+    return chat_parts.read_back(chat_parts.formatted(chat_parts.as_parts(turns.union(tricky))))
+
+
 def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """All documents as token ids in files of the shared folder, read back from there."""
     path = scratch.folder(spark, "tokens")
@@ -70,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op3_language": op3_language,
     "op5_mixing": op5_mixing,
+    "op6_chat": op6_chat,
     "op7_token_files": op7_token_files,
     "op8_substrings": op8_substrings,
     "op9_simhash": op9_simhash,
