@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelmart.llm import chat_parts, decontaminate_tiling, language_svm, mixing, quality_knn, scratch, sharding_bfd, simhash_vptree, substring_anchors, token_files
+from reelmart.llm import chat_parts, decontaminate_tiling, language_svm, mixing, quality_knn, scratch, sharding_bfd, simhash_vptree, substring_anchors, token_files, winnowing
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -36,6 +36,13 @@ def op3_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
+def op4_winnowing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents, their edited texts and fingerprints of both."""
+    rows = winnowing.compared(_table(spark, folder, "documents"))
+    text = {c: winnowing.as_text(F.col(c)).alias(c) for c in ("fingerprint", "edited_fingerprint")}
+    return rows.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), *text.values(), "near_edited", "near_next")
+
+
 def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents, sources by weights 3, 1, 2 to 150 % of all words, none above twice its size."""
     return mixing.Mix(_table(spark, folder, "documents")).taken()
@@ -78,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_decontamination": op2_decontamination,
     "op3_language": op3_language,
+    "op4_winnowing": op4_winnowing,
     "op5_mixing": op5_mixing,
     "op6_chat": op6_chat,
     "op7_token_files": op7_token_files,
