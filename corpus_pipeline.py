@@ -8,15 +8,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reelmart.llm import mixing, sharding_bfd, simhash_vptree
+from reelmart.llm import decontaminate_tiling, language_svm, mixing, sharding_bfd, simhash_vptree
 from reelmart.llm.scratch import written
 
 
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is told; those without letters or with an uncertain language go."""
+    return language_svm.accepted(docs, language_svm.fit(docs))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, the one with the least doc_id."""
     return simhash_vptree.deduplicated(docs)
 
 
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain no item of the benchmark."""
+    return decontaminate_tiling.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources by weights 3, 1, 2 to 150 % of all words: a row for each document and pass that takes words of it."""
     return mixing.mixed_documents(docs)
@@ -28,7 +38,9 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("language", language),
     ("near duplicates", near_duplicates),
+    ("decontamination", decontaminate),
     ("mixing", mix),
     ("sharding", shard),
 ]

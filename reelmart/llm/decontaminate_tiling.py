@@ -140,43 +140,47 @@ def _blocks(benchmark: DataFrame, block_tokens: int) -> Iterator[list[tuple[int,
         yield block
 
 
+def _found(items: Items, text: str | None, coverage: float) -> list[tuple[int, float]]:
+    """(item's index, covered share) of the items that a text contains."""
+    number = items.number.get
+    document = np.array([number(t, 0) for t in tokens(text)], np.int64)
+    shares = ((i, items.covered(i, document) / len(items.words[i])) for i in items.seeded(document, coverage))
+    return [(i, share) for i, share in shares if share >= coverage]
+
+
 def contained(docs: DataFrame, benchmark: DataFrame, match: int = 5, coverage: float = 0.6, block_tokens: int = 500_000) -> DataFrame:
-    """doc_id, digest (of the text), item_id, covered (share of the item's tokens): the items that documents contain."""
+    """doc_id, item_id, covered (share of the item's tokens): the items that documents contain."""
     spark = docs.sparkSession
-    kinds = [docs.schema["doc_id"].dataType.simpleString(), benchmark.schema["item_id"].dataType.simpleString()]
-    ids = to_arrow_type(benchmark.schema["item_id"].dataType)
-    schema = f"doc_id {kinds[0]}, digest long, item_id {kinds[1]}, covered double"
-    rows = docs.select("doc_id", F.xxhash64("text").alias("digest"), "text")
+    kinds = docs.schema["doc_id"].dataType, benchmark.schema["item_id"].dataType
+    schema = f"doc_id {kinds[0].simpleString()}, item_id {kinds[1].simpleString()}, covered double"
+    ids = to_arrow_type(kinds[1])
 
     def search(block: list[tuple[int, str]]) -> DataFrame:
         sent = spark.sparkContext.broadcast(Items(block, match))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             items = sent.value
-            number = items.number.get
             for batch in batches:
-                found: list[tuple[int, int, float]] = []
-                for row, text in enumerate(batch.column("text")):
-                    document = np.array([number(t, 0) for t in tokens(text.as_py())], np.int64)
-                    for item in items.seeded(document, coverage):
-                        share = items.covered(item, document) / len(items.words[item])
-                        if share >= coverage:
-                            found.append((row, items.ids[item], share))
-                at = pa.array([f[0] for f in found], pa.int64())
+                found = [(row, i, share) for row, text in enumerate(batch.column("text")) for i, share in _found(items, text.as_py(), coverage)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").take(at), batch.column("digest").take(at), pa.array([f[1] for f in found], ids), pa.array([f[2] for f in found], pa.float64())],
-                    names=["doc_id", "digest", "item_id", "covered"],
+                    [batch.column("doc_id").take(pa.array([f[0] for f in found], pa.int64())), pa.array([items.ids[f[1]] for f in found], ids), pa.array([f[2] for f in found], pa.float64())],
+                    names=["doc_id", "item_id", "covered"],
                 )
 
-        return rows.mapInArrow(run, schema)
+        return docs.select("doc_id", "text").mapInArrow(run, schema)
 
     parts = [search(block) for block in _blocks(benchmark, block_tokens)]
     return reduce(DataFrame.union, parts) if parts else spark.createDataFrame([], schema)
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The documents that contain no item, with their columns."""
-    found = contained(docs, benchmark, **options).select("doc_id", "digest").distinct().alias("f")
-    rows = docs.withColumn("_digest", F.xxhash64("text")).alias("d")
-    on = F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("d._digest") == F.col("f.digest"))
-    return rows.join(found, on, "left_anti").select(*docs.columns)
+def clean(docs: DataFrame, benchmark: DataFrame, match: int = 5, coverage: float = 0.6, block_tokens: int = 500_000) -> DataFrame:
+    """The documents that contain no item, with their columns; nothing moves between tasks."""
+    for block in _blocks(benchmark, block_tokens):
+        sent = docs.sparkSession.sparkContext.broadcast(Items(block, match))
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch.filter(pa.array([not _found(sent.value, text.as_py(), coverage) for text in batch.column("text")], pa.bool_()))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs

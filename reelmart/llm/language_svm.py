@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from reelmart.llm.features import letter_trigrams, row_blocks, unit
 from reelmart.llm.text import utf8
@@ -142,29 +143,36 @@ def fit(training: DataFrame, dims: int = 2048, sample: int = 500) -> Model | Non
     return Model(np.stack([np.frombuffer(r.counts, np.float32) for r in rows]), [r.lang for r in rows])
 
 
-def identify(docs: DataFrame, model: Model | None) -> DataFrame:
-    """doc_id, digest (of the text), lang_pred, score of every document."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
+def identify(docs: DataFrame, model: Model | None, keep: list[str] | None = None) -> DataFrame:
+    """The documents' columns (or those to keep) with lang_pred and score, which replace columns of these names."""
     sent = docs.sparkSession.sparkContext.broadcast(model)  # dims x (families + pairs of related languages) numbers
+    keep = [c for c in keep or docs.columns if c not in ("lang_pred", "score")]
     lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+    carried = docs.select(*keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
         for batch in batches:
-            data, offsets = utf8(batch.column("text"))
-            known = batch.column("lettered").to_numpy(zero_copy_only=False)
+            data, offsets = utf8(batch.column("_text"))
+            known = batch.column("_lettered").to_numpy(zero_copy_only=False)
             names, scores = [], []
             for lo, hi in row_blocks(offsets):
                 if model is None:
                     language, score = [UNKNOWN] * (hi - lo), np.zeros(hi - lo)
                 else:
                     language, score = model(letter_trigrams(data, offsets[lo : hi + 1], model.dims))
-                names += [x if k else UNKNOWN for x, k in zip(language, known[lo:hi], strict=True)]
+                names += [x if k and model else UNKNOWN for x, k in zip(language, known[lo:hi], strict=True)]
                 scores.append(np.where(known[lo:hi], score, 0.0))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("digest"), pa.array(names, pa.string()), pa.array(np.concatenate(scores) if scores else [], pa.float64())],
-                names=["doc_id", "digest", "lang_pred", "score"],
+                [*(batch.column(c) for c in keep), pa.array(names, pa.string()), pa.array(np.concatenate(scores) if scores else [], pa.float64())],
+                names=[*keep, "lang_pred", "score"],
             )
 
-    rows = docs.select("doc_id", F.xxhash64("text").alias("digest"), "text", lettered.alias("lettered"))
-    return rows.mapInArrow(run, f"doc_id {kind}, digest long, lang_pred string, score double")
+    schema = StructType([*carried.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    return docs.select(*keep, F.col("text").alias("_text"), lettered.alias("_lettered")).mapInArrow(run, schema)
+
+
+def accepted(docs: DataFrame, model: Model | None, least: float = 0.5) -> DataFrame:
+    """The documents whose language is told with a score of ``least``; a missing lang is set to it."""
+    told = identify(docs, model).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
+    return told.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)

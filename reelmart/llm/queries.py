@@ -25,14 +25,13 @@ def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """The documents of all that contain an item of the benchmark, with the share of the item that tiles cover."""
-    found = decontaminate_tiling.contained(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
-    return found.select("doc_id", "item_id", "covered")
+    return decontaminate_tiling.contained(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
 
 def op3_language(spark: SparkSession, folder: str) -> DataFrame:
     """All documents; learned from rows that aren't held out (a third is)."""
     docs, held = _table(spark, folder, "documents"), language_svm.fold("doc_id", 3) == 1
-    found = language_svm.identify(docs, language_svm.fit(docs.where(~held)))
+    found = language_svm.identify(docs, language_svm.fit(docs.where(~held)), ["doc_id"])
     return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
