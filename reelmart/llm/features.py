@@ -34,9 +34,12 @@ def trigram_counts(data: np.ndarray, offsets: np.ndarray, table: np.ndarray, dim
         if len(codes) < 3:
             continue
         grams = (((codes[:-2] << 16) | (codes[1:-1] << 8) | codes[2:]) * np.uint32(0x9E3779B1)) >> shift
-        at = np.arange(first, first + len(grams))
-        row = np.searchsorted(offsets, at, "right") - 1 if rows > 1 else np.zeros(len(at), np.int64)
-        inside = at + 3 <= offsets[row + 1]  # not across texts
+        row = np.repeat(np.arange(rows), np.diff(np.clip(offsets, first, last)))[: len(grams)]
+        inside = np.ones(len(grams) + 2, bool)  # not across texts
+        for back in (1, 2):
+            edges = offsets[1:] - back - first
+            inside[edges[(edges >= 0) & (edges < len(grams))]] = False
+        inside = inside[: len(grams)]
         out += np.bincount(row[inside] * dims + grams[inside], minlength=rows * dims).astype(np.float32)
     return out.reshape(rows, dims)
 

@@ -65,7 +65,7 @@ def draw(quotas: np.ndarray, slots: int, seed: int) -> np.ndarray:
             free = min(slots, int(left.sum())) - int(counts.sum())
         rows.append(counts)
         left -= counts
-    return np.array(rows, np.int64).reshape(-1, len(quotas))
+    return np.array(rows, np.int64).reshape(len(rows), len(quotas))
 
 
 def permuted(x: np.ndarray, n: int, key: int) -> np.ndarray:
@@ -200,17 +200,17 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     parts = met.groupBy(*key, "start", "pass").agg(F.sort_array(F.collect_list(F.struct("first", "words"))).alias("parts"))
     copies = parts.groupBy(*key, "start").agg(F.sort_array(F.collect_list(F.struct("pass", "parts"))).alias("passes"))
     # equal rows take a stream place each, by their number among equal rows
-    copies = copies.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("start", "passes"))).alias("copies"))
-    rows = docs.withColumn("digest", F.xxhash64("text")).alias("d")
+    copies = copies.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("start", "passes"))).alias("copies")).alias("c")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "source", F.xxhash64("text").alias("digest"), "text").alias("d")
     on = reduce(lambda a, b: a & b, (F.col(f"d.{c}").eqNullSafe(F.col(f"c.{c}")) for c in key))
-    rows = rows.join(copies.alias("c"), on).select("d.*", "copies")
-    number = F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(0)))
-    rows = rows.select(*docs.columns, number.alias("_copy"), F.col("copies").alias("_copies"))
-    rows = rows.withColumn("_pass", F.explode(F.expr("get(_copies, _copy - 1).passes")))
-    rows = rows.withColumn("_words", F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1)))
-    pieces = F.transform("_pass.parts", lambda p: F.array_join(F.slice("_words", (p["first"] + 1).cast("int"), p["words"].cast("int")), " "))
-    taken = F.aggregate("_pass.parts", F.lit(0).cast("long"), lambda n, p: n + p["words"])
-    text = F.when(taken == F.size("_words"), F.col("text")).otherwise(F.array_join(pieces, " "))
-    out = {"text": text} | ({"n_chars": F.char_length("text").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
-    rows = rows.withColumn("text", out["text"])
-    return rows.select(*((out["n_chars"].alias(c) if c == "n_chars" else F.col(c)) for c in docs.columns))
+    number = F.row_number().over(Window.partitionBy("d.doc_id", "d.source", "d.digest").orderBy(F.lit(0)))
+    rows = rows.join(copies, on).select("row", "d.text", "copies", number.alias("number"))
+    rows = rows.select("row", "text", F.explode(F.expr("get(copies, number - 1).passes.parts")).alias("parts"))
+    rows = rows.withColumn("found", F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1)))
+    pieces = F.transform("parts", lambda p: F.array_join(F.slice("found", (p["first"] + 1).cast("int"), p["words"].cast("int")), " "))
+    taken = F.aggregate("parts", F.lit(0).cast("long"), lambda n, p: n + p["words"])
+    rows = rows.select("row", F.when(taken == F.size("found"), F.col("text")).otherwise(F.array_join(pieces, " ")).alias("text"))
+    changed = {"text": F.col("text")}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+    return rows.select(*(changed.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns))

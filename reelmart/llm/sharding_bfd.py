@@ -7,19 +7,18 @@ the shards and cells and not on the data, are packed the same way into the shard
 capacity is the least that best fit decreasing keeps within that number; with a fixed capacity the number of shards is
 what it needs.
 
-Defined cases: a null text has no bytes and so size 1; rows of equal texts (or both null) stay together, repeated rows
+Defined cases: a null text is an empty one, of size 1; rows of equal texts stay together, repeated rows
 included; a group above the capacity has a shard of its own; a null doc_id is numbered first; an empty table gives an
 empty result; extra columns are kept by ``sharded`` and left by ``shard_sizes``.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelmart.llm.scratch import partitions, written
@@ -125,12 +124,16 @@ def pack_into(sizes: list[int], bins: int) -> list[int]:
     return [*range(alone), *(alone + b for b in pack(own, high))]
 
 
+def _digest() -> Column:
+    """128 bits of the text's SHA-256: the name of its group."""
+    return F.unhex(F.substring(F.sha2(F.coalesce("text", F.lit("")), 256), 1, 32))
+
+
 def _groups(docs: DataFrame) -> DataFrame:
-    """doc_id, size, text_crc32, digest of every row; the digest names the group."""
+    """doc_id, size, text_crc32, digest of every row."""
     text = F.coalesce("text", F.lit(""))
-    digest = F.coalesce(F.unhex(F.substring(F.sha2("text", 256), 1, 32)), F.lit("").cast("binary"))
     size = (F.octet_length(text) + 1).cast("long")
-    return docs.select("doc_id", size.alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), digest.alias("digest"))
+    return docs.select("doc_id", size.alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), _digest().alias("digest"))
 
 
 def assign(rows: DataFrame, shards: int | None = 16, capacity: int | None = None, bundles: int = 64) -> tuple[DataFrame, DataFrame]:
@@ -190,8 +193,7 @@ def shard_sizes(docs: DataFrame, shards: int = 16) -> DataFrame:
 
 def sharded(docs: DataFrame, shards: int | None = 16, capacity: int | None = None) -> DataFrame:
     """The documents with shard; extra columns are kept, clashing ones replaced."""
-    docs = docs.drop("shard", "_digest")
-    digest = F.coalesce(F.unhex(F.substring(F.sha2("text", 256), 1, 32)), F.lit("").cast("binary"))
+    docs = docs.drop("shard", "_llm_digest")
     groups, places = assign(written(_groups(docs), "sizes"), shards, capacity)
-    of = groups.join(places, ["cell", "bundle"]).select(F.col("digest").alias("_digest"), "shard")
-    return docs.withColumn("_digest", digest).join(of, "_digest").drop("_digest")
+    of = groups.join(places, ["cell", "bundle"]).select(F.col("digest").alias("_llm_digest"), "shard")
+    return docs.withColumn("_llm_digest", _digest()).join(of, "_llm_digest").drop("_llm_digest")

@@ -299,7 +299,7 @@ def deduplicated(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, **m
     prints = written(fingerprints(docs, shingle, parts=4), "fingerprints")
     points, _ = grouped(prints, int(64 * share + 8 * spread), int(256 * share + 16 * spread), similarity, **{"shard_rows": 20_000, **more})
     keep = points.groupBy("root").agg(F.min("least").alias("least")).select("least.doc_id", "least.digest")
-    rows = docs.withColumn("_digest", F.xxhash64("text")).alias("d")
-    rows = rows.join(keep.alias("k"), F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("d._digest") == F.col("k.digest")), "left_semi")
-    copy = F.row_number().over(Window.partitionBy("doc_id", "_digest").orderBy(F.lit(0)))  # repeated rows
-    return rows.withColumn("_copy", copy).where("_copy = 1").select(*docs.columns)
+    rows = docs.withColumn("_llm_digest", F.xxhash64("text")).alias("d")
+    rows = rows.join(keep.alias("k"), F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("d._llm_digest") == F.col("k.digest")), "left_semi")
+    copy = F.row_number().over(Window.partitionBy("doc_id", "_llm_digest").orderBy(F.lit(0)))  # repeated rows
+    return rows.withColumn("_llm_copy", copy).where("_llm_copy = 1").select(*docs.columns)
