@@ -179,21 +179,24 @@ def link(points: np.ndarray, homes: int, distance: int, agree=None) -> Forest:
 
 
 def links(
-    points: DataFrame, distance: int, total: int | None = None, ratio: float | None = None, shard_rows: int = 4_000, sample: int = 1 << 17
+    points: DataFrame, distance: int, total: int | None = None, ratio: float | None = None, shard_rows: int = 4_000, sample: int = 1 << 15
 ) -> DataFrame:
     """(a, b) of ids of points: a spanning forest, shard by shard, of all links between points.
 
     points: id, size, fp0, ... ; distance: bits of fp0; total: bits of all fingerprints together; ratio: least ratio
-    of sizes. With a ratio, points are first split into bands of sizes, and visit the next higher band.
+    of sizes. With a ratio, points are first split into bands of sizes, and visit the next higher band. shard_rows:
+    points of a shard, about, as far as the sample (a bounded number of points that reach the driver) allows.
     """
     names = [c for c in points.columns if c.startswith("fp")]
     step = -math.log(ratio) if ratio else 1.0
     band = F.floor(F.log(F.greatest("size", F.lit(0.5))) / step) if ratio else F.lit(0).cast("long")
     points = points.select("id", "size", band.alias("band"), *names)
-    most = points.groupBy("band").count().agg(F.max("count")).first()[0] or 0
+    counts = points.groupBy("band").count().agg(F.max("count").alias("most"), F.sum("count").alias("all")).first()
+    most, share = counts.most or 0, sample / max(1, counts["all"] or 0)
     depth = max(0, min(int(math.log2(sample)) - 5, math.ceil(math.log2(max(1, most) / shard_rows))))
-    picked = points.orderBy(F.xxhash64("id")).limit(sample).select("fp0").collect() if depth else []
-    tree = Tree(np.array([r.fp0 for r in picked], np.int64).view(np.uint64), depth)
+    chance = F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1 << 30)) / (1 << 30)  # about as many points as asked for
+    picked = sorted(r.fp0 for r in points.where(chance < share).select("fp0").collect()) if depth else []
+    tree = Tree(np.random.default_rng(0).permutation(np.array(picked, np.int64)).view(np.uint64), depth)
     columns = ["band", "shard", "guest", "id", "size", *names]
     schema = "band long, shard long, guest boolean, id long, size long, " + ", ".join(f"{c} long" for c in names)
 
