@@ -6,8 +6,8 @@ they start (little-endian both), and ``index`` is a Parquet table of doc_id, sha
 its range of documents in one pass; the shards' bases are prefix sums of their token counts, one number per shard; a
 last pass turns counts into offsets. A file is written under a name of its own and then moved, so a task can run again.
 
-Distinct words (what white space separates) are encoded once per worker, up to a bound: the vocabulary's normalizer and
-pre-tokenizer must drop white space and not look across it, which ``separable`` tests; else whole texts are encoded.
+Distinct words are encoded once per worker, up to a bound, where the vocabulary's normalizer and pre-tokenizer are known
+not to look across white space (``separable``); else whole texts are encoded.
 
 Defined cases: a null or empty text is the end id alone; a null doc_id comes first; equal doc_ids stand in the order of
 their texts; an empty table gives no shards and an empty result; extra columns are left.
@@ -18,7 +18,6 @@ from __future__ import annotations
 import json
 import mmap
 import os
-import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -31,8 +30,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Words a worker keeps with their ids; beyond it, it begins anew.
-KEPT_WORDS = 600_000
+#: Words of a generation that a worker keeps with their ids.
+KEPT_WORDS = 300_000
 
 
 def _place(path: str) -> tuple[fs.FileSystem, str]:
@@ -66,80 +65,120 @@ class _Span:
         return self.map[start : start + size] if self.file is None else self.file.read_at(size, start)
 
 
+#: The normalizer and pre-tokenizer of vocabularies whose texts can be encoded piece by piece.
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+_BYTE = np.arange(256, dtype=np.uint8)
+_CAPITAL = (_BYTE >= ord("A")) & (_BYTE <= ord("Z"))
+_SMALL = (_BYTE >= ord("a")) & (_BYTE <= ord("z"))
+_SIGN = (_BYTE > 0x20) & (_BYTE < 0x7F) & ~_CAPITAL & ~_SMALL & (_BYTE != ord("'"))
+_SIGN[ord("0") : ord("9") + 1] = False
+#: Second bytes of the letters whose first byte is C3.
+_LATIN = (_BYTE >= 0x80) & (_BYTE < 0xC0) & (_BYTE != 0x97) & (_BYTE != 0xB7)
+
+
+def pieces(texts: list[bytes]) -> list[list[bytes]]:
+    """The words of each text, in fewer forms but with the same ids: ASCII capitals made small, signs after a letter cut off.
+
+    A letter before a combining mark (lead bytes CC, CD) is left, since composing may come before the change of case.
+    An apostrophe is left, since the pattern looks at what follows it. A text that may hold special tokens is only split.
+    """
+    raw = np.frombuffer(b"".join(texts), np.uint8)
+    after = np.append(raw[1:], np.uint8(0))
+    low = raw + (np.uint8(32) * (_CAPITAL[raw] & (after != 0xCC) & (after != 0xCD)))
+    letter = _SMALL[low]
+    letter[1:] |= _LATIN[low[1:]] & (low[:-1] == 0xC3)
+    cuts = np.flatnonzero(_SIGN[low[1:]] & letter[:-1]) + 1
+    ends = np.cumsum([0, *map(len, texts)])
+    ends += np.searchsorted(cuts, ends)
+    cut = np.insert(low, cuts, 0x20).tobytes()
+    return [text.split() if b"<|" in text else cut[a:b].split() for text, a, b in zip(texts, ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+
+
+class Words:
+    """Ids of words: a generation of them."""
+
+    def __init__(self):
+        self.at: dict[bytes, int] = {}
+        self.first, self.ids = np.zeros(1, np.int64), np.zeros(0, np.uint32)
+
+    def add(self, words: list[bytes], lengths: np.ndarray, ids: np.ndarray) -> None:
+        self.at.update(zip(words, range(len(self.at), len(self.at) + len(words)), strict=True))
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(lengths)])
+        self.ids = np.concatenate([self.ids, ids])
+
+    def of(self, where: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Lengths and ids of words by number, one after another."""
+        lengths = self.first[where + 1] - self.first[where]
+        begins = np.cumsum(lengths) - lengths
+        return lengths, self.ids[np.repeat(self.first[where] - begins, lengths) + np.arange(int(lengths.sum()))]
+
+
 class Encoder:
-    """Ids of texts, by distinct words where the vocabulary allows it."""
+    """Ids of texts, by distinct words where the vocabulary allows it.
+
+    Words are kept in two generations: a full one becomes the older, and words that are still used move from there to
+    the younger, so frequent words stay and memory is bounded.
+    """
 
     def __init__(self, vocabulary: str, end: int):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.end = Tokenizer.from_file(vocabulary), end
         self.by_word = separable(vocabulary)
-        self._forget()
-
-    def _forget(self) -> None:
-        self.at: dict[bytes, int] = {}
-        self.first, self.used = np.zeros(1 << 12, np.int64), 0
-        self.ids, self.n = np.zeros(1 << 14, np.uint32), 0
-
-    def _encode(self, texts: list[bytes]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
-
-    def _learn(self, words: list[bytes]) -> None:
-        encoded = self._encode(words)
-        lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        total, count = self.n + int(lengths.sum()), self.used + len(words)
-        while total > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        while count + 1 > len(self.first):
-            self.first = np.concatenate([self.first, np.zeros_like(self.first)])
-        self.ids[self.n : total] = [i for ids in encoded for i in ids]
-        self.first[self.used + 1 : count + 1] = self.n + np.cumsum(lengths)
-        self.at.update(zip(words, range(self.used, count), strict=True))
-        self.used, self.n = count, total
+        self.young, self.old = Words(), Words()
+
+    def _encode(self, texts: list[bytes], at_once: int = 4096) -> tuple[np.ndarray, np.ndarray]:
+        """Counts and ids; a bounded number of texts at a time, as an encoding is much larger than its ids."""
+        lengths, ids = [], []
+        for i in range(0, len(texts), at_once):
+            found = [e.ids for e in self.tokenizer.encode_batch_fast([t.decode() for t in texts[i : i + at_once]], add_special_tokens=False)]
+            lengths += map(len, found)
+            ids.append(np.fromiter(chain.from_iterable(found), np.uint32))
+        return np.array(lengths, np.int64), np.concatenate(ids) if ids else np.zeros(0, np.uint32)
+
+    def _learn(self, words: set[bytes]) -> None:
+        if len(self.young.at) + len(words) > KEPT_WORDS:
+            self.old, self.young = self.young, Words()
+        known = [w for w in words if w in self.old.at]
+        self.young.add(known, *self.old.of(np.fromiter(map(self.old.at.__getitem__, known), np.int64, len(known))))
+        new = [w for w in words if w not in self.old.at]
+        self.young.add(new, *self._encode(new))
 
     def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the texts, each closed by the end id, and their counts."""
         if not self.by_word:
-            found = [ids + [self.end] for ids in self._encode(texts)]
-            return np.array([i for ids in found for i in ids], np.uint32), np.array([len(x) for x in found], np.int64)
-        if self.used > KEPT_WORDS:
-            self._forget()
-        split = [t.split() for t in texts]
-        new = {w for words in split for w in words}.difference(self.at)
+            lengths, ids = self._encode(texts, 64)
+            return np.insert(ids, np.cumsum(lengths), self.end), lengths + 1
+        split = pieces(texts)
+        used = set().union(*split)
+        new = used.difference(self.young.at)
         if new:
-            self._learn(list(new))
+            # a generation that can't take the new words makes room, and then needs all that these texts use
+            full = len(self.young.at) + len(new) > KEPT_WORDS
+            self._learn(used if full else new)
         counts = np.fromiter(map(len, split), np.int64, len(split))
-        where = np.fromiter((i for words in split for i in map(self.at.__getitem__, words)), np.int64, int(counts.sum()))
-        lengths = self.first[where + 1] - self.first[where]
-        ends = np.cumsum(lengths)
-        take = np.repeat(self.first[where] - (ends - lengths), lengths) + np.arange(int(lengths.sum()))
-        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
-        return np.insert(self.ids[take], bounds[1:], self.end), np.diff(bounds) + 1
+        where: list[int] = []
+        for words in split:
+            where.extend(map(self.young.at.__getitem__, words))
+        lengths, ids = self.young.of(np.array(where, np.int64))
+        bounds = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(counts)])]
+        return np.insert(ids, bounds[1:], self.end), np.diff(bounds) + 1
 
 
 def separable(vocabulary: str) -> bool:
-    """Whether a text's ids are those of its words (what ASCII white space separates), one after another.
-
-    True only for forms known to be so: byte pairs, a pattern that keeps white space out of its matches, and
-    normalizers that work by characters or turn runs of white space into a space. Anything else is encoded whole.
-    """
+    """Whether a text's ids are those of its pieces, one after another: true for the one form known to be so."""
     with open(vocabulary, encoding="utf-8") as file:
         parts = json.load(file)
-
-    def steps(part: dict | None, many: str) -> list[dict]:
-        return (part or {}).get(many) or ([part] if part else [])
-
-    def by_character(x: dict) -> bool:
-        return x["type"] in ("NFC", "Lowercase") or x["type"] == "Replace" and x["pattern"] == {"Regex": r"\s+"} and x["content"] == " "
-
-    def inside_words(x: dict) -> bool:
-        if x["type"] == "ByteLevel":
-            return not x["add_prefix_space"] and not x["use_regex"]
-        pattern = x.get("pattern", {}).get("Regex", r"\s").replace(r"[^\s\p{L}\p{N}]", "")
-        return x["type"] == "Split" and x["invert"] and x["behavior"] == "Removed" and not re.search(r"\\[sSWD]|\[\^| |\.", pattern)
-
-    before = steps(parts["pre_tokenizer"], "pretokenizers")
-    return parts["model"]["type"] == "BPE" and any(x["type"] == "Split" for x in before) and all(map(inside_words, before)) and all(map(by_character, steps(parts["normalizer"], "normalizers")))
+    split, *rest = (parts["pre_tokenizer"] or {}).get("pretokenizers") or [{}]
+    return (
+        parts["model"]["type"] == "BPE"
+        and (parts["normalizer"] or {}).get("normalizers") == NORMALIZERS
+        and (split.get("pattern"), split.get("behavior"), split.get("invert")) == ({"Regex": PATTERN}, "Removed", True)
+        and all((x["type"], x["add_prefix_space"], x["use_regex"]) == ("ByteLevel", False, False) for x in rest)
+        and all(x["content"].startswith("<|") for x in parts["added_tokens"])
+    )
 
 
 _ENCODERS: dict[tuple[str, int], Encoder] = {}

@@ -11,7 +11,7 @@ from reelmart.llm import token_files as T
 from .conftest import words
 
 WORDS, BYTES = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
-TRICKY = ["it's they'RE", "a\x1cb\x1fc", "x y z　q\u0085r", "é ́a", "ΣΟΣ İI", "<|startoftext|> a<|endoftext|>b", "1234 5,6", "\U0001f600\U0001f600", "​ x​", "﻿a", "a\vb\fc\rd"]
+TRICKY = ["H̱ẖ T̈ẗ J̌ǰ Àà", "O'SHEA'S it'LL a.'s a'.s 'S 's, x'd.", "≮ <|STARTOFTEXT|> A,B.C!?", "école, ÉCOLE! São-Paulo× 5÷6 ñ. ÿ; Ω. Ж!", "a´b a­b ﬁ, ǅ. K. Å!", "it’s “quoted”, …dots… —", "<|ENDOFTEXT|>Mixed, CASE.<|endoftext|>!", "it's they'RE", "a\x1cb\x1fc", "x y z　q\u0085r", "é ́a", "ΣΟΣ İI", "<|startoftext|> a<|endoftext|>b", "1234 5,6", "\U0001f600\U0001f600", "​ x​", "﻿a", "a\vb\fc\rd"]
 
 
 def expected(table, vocabulary, end):
@@ -46,9 +46,9 @@ def test_round_trip(spark, documents, odd_texts, tmp_path, vocabulary, width):
 
 
 def test_words_beyond_what_a_worker_keeps(monkeypatch):
-    monkeypatch.setattr(T, "KEPT_WORDS", 50)
+    monkeypatch.setattr(T, "KEPT_WORDS", 150)
     encoder, tokenizer = T.Encoder(WORDS, 2), Tokenizer.from_file(WORDS)
-    for seed in range(6):
+    for seed in range(12):
         texts = [" ".join(words(seed * 10 + i, 30)) for i in range(5)] + [""]
         ids, counts = encoder([t.encode() for t in texts])
         want = [[*tokenizer.encode(t, add_special_tokens=False).ids, 2] for t in texts]
