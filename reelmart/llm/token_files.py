@@ -18,6 +18,7 @@ from __future__ import annotations
 import json
 import mmap
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -96,6 +97,11 @@ def pieces(texts: list[bytes]) -> list[list[bytes]]:
     return [text.split() if b"<|" in text else cut[a:b].split() for text, a, b in zip(texts, ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
 
 
+#: Small letters whose normal form and small form are themselves.
+PLAIN = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
+_PLAIN_WORD = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+").fullmatch
+
+
 class Words:
     """Ids of words: a generation of them."""
 
@@ -124,10 +130,13 @@ class Encoder:
 
     def __init__(self, vocabulary: str, end: int):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer, self.end = Tokenizer.from_file(vocabulary), end
         self.by_word = separable(vocabulary)
         self.young, self.old = Words(), Words()
+        bytewise = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.bytewise = str.maketrans({c: bytewise.pre_tokenize_str(c)[0][0] for c in PLAIN})
 
     def _encode(self, texts: list[bytes], at_once: int = 4096) -> tuple[np.ndarray, np.ndarray]:
         """Counts and ids; a bounded number of texts at a time, as an encoding is much larger than its ids."""
@@ -144,7 +153,14 @@ class Encoder:
         known = [w for w in words if w in self.old.at]
         self.young.add(known, *self.old.of(np.fromiter(map(self.old.at.__getitem__, known), np.int64, len(known))))
         new = [w for w in words if w not in self.old.at]
-        self.young.add(new, *self._encode(new))
+        # a word of small letters alone is one piece that the normalizer leaves as it is: straight to the model
+        plain, other = [], []
+        for word in new:
+            (plain if _PLAIN_WORD(word) else other).append(word)
+        merge, table = self.tokenizer.model.tokenize, self.bytewise
+        found = [[x.id for x in merge(w.decode().translate(table))] for w in plain]
+        self.young.add(plain, np.fromiter(map(len, found), np.int64, len(found)), np.fromiter(chain.from_iterable(found), np.uint32))
+        self.young.add(other, *self._encode(other))
 
     def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the texts, each closed by the end id, and their counts."""
