@@ -62,16 +62,12 @@ def sample_title_rules() -> list[TitleClause]:
     return [_clause(row) for row in json.loads(text)]
 
 
-def title_rules_from(table: DataFrame, limit: int = 20_000) -> list[TitleClause]:
-    """Read a rule table (ordinal, label, contains, lacks, equals).
+def title_rules_from(table: DataFrame) -> list[TitleClause]:
+    """Read a rule table (ordinal, label, contains, lacks, equals) into clauses, which become part of the query text.
 
-    Rules are part of the query text, so they come to the driver. A table beyond ``limit`` is not a
-    rule table and is refused, never cut.
+    For rules that are data of any size, join them instead: :mod:`reelmart.operators.title_rules`.
     """
-    rows = table.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} title rule clauses")
-    return [_clause(row.asDict()) for row in rows]
+    return [_clause(row.asDict()) for row in table.collect()]
 
 
 def title_series(title: Column | str, clauses: Iterable[TitleClause], default: str = V.NO_SERIES_NAME) -> Column:

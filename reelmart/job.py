@@ -18,6 +18,7 @@ import json
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from reelmart.functions.fixed_values import INITIAL_DATE
 from reelmart.functions.titles import title_rules_from
@@ -43,6 +44,16 @@ def run_job(
     return run.execute(months_to_reprocess, onwards)
 
 
+def summary(audit: DataFrame) -> list[str]:
+    """One line for each output, status and message; the audit table has every period."""
+    ends = F.min("PERIOD_START").alias("first"), F.max("PERIOD_END").alias("last")
+    found = audit.groupBy("OUTPUT", "STATUS", "MESSAGE").agg(F.count(F.lit(1)).alias("n"), F.sum("ROWS").alias("rows"), *ends)
+    return [
+        f"{r.OUTPUT}: {r.STATUS}, {r.n} periods ({r.first} to {r.last}), {r.rows or 0} rows" + (f": {r.MESSAGE}" if r.MESSAGE else "")
+        for r in found.orderBy("OUTPUT", "STATUS", "MESSAGE").collect()
+    ]
+
+
 def main() -> None:
     parser = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     parser.add_argument("config")
@@ -51,7 +62,9 @@ def main() -> None:
     args = parser.parse_args()
     spark = SparkSession.builder.appName("reelmart").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     with open(args.config, encoding="utf-8") as f:
-        run_job(spark, json.load(f), args.months, args.onwards).orderBy("LOGGED_AT").show(1000, truncate=False)
+        audit = run_job(spark, json.load(f), args.months, args.onwards)
+    for line in summary(audit):
+        print(line)
 
 
 if __name__ == "__main__":

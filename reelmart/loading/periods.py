@@ -5,10 +5,13 @@ Everything here is a DataFrame of one row, or of one row per month.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from datetime import date, timedelta
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelmart.functions.dates import day_of_key, key_of_day
+from reelmart.functions.dates import day_of_key
 from reelmart.functions.fixed_values import INITIAL_DATE
 
 
@@ -85,21 +88,12 @@ def pending_months(
     return everything.join(present, "PERIOD_END", "left_anti").select("PERIOD_START", "PERIOD_END")
 
 
-
-def as_periods(calendar: DataFrame) -> list[tuple[int, int]]:
-    """The calendar as day-key pairs for the scan filter; neighbouring months become one pair.
-
-    One row per month comes to the driver, never a fact row.
-    """
-    rows = calendar.select(
-        "PERIOD_START", key_of_day("PERIOD_START"), key_of_day("PERIOD_END"), F.date_add("PERIOD_END", 1)
-    ).collect()
-    merged: list[tuple[int, int]] = []
-    expected = None
-    for first, start, end, following in sorted(rows):
-        if first == expected:
-            merged[-1] = (merged[-1][0], end)
+def as_periods(calendar: Iterable[tuple[date, date]]) -> list[tuple[int, int]]:
+    """First and last days as day-key pairs for the scan filter; neighbouring periods become one pair."""
+    merged: list[tuple[date, date]] = []
+    for first, last in sorted((c[0], c[1]) for c in calendar):
+        if merged and first <= merged[-1][1] + timedelta(days=1):
+            merged[-1] = (merged[-1][0], max(last, merged[-1][1]))
         else:
-            merged.append((start, end))
-        expected = following
-    return merged
+            merged.append((first, last))
+    return [(int(f"{a:%Y%m%d}"), int(f"{b:%Y%m%d}")) for a, b in merged]

@@ -1,7 +1,8 @@
 """The run: load what is pending in every output, or reprocess chosen months.
 
 An output that fails is recorded and does not stop the others. The audit table gets one row per
-output and period, in one append per run.
+output and period, in one append per execution. Each execution has a run id, a log and prepared
+dimensions of its own, and leaves no scratch files behind.
 """
 
 from __future__ import annotations
@@ -11,14 +12,15 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from reelmart.functions.dates import day_of_key
 from reelmart.functions.fixed_values import INITIAL_DATE
 from reelmart.functions.titles import TitleClause
 from reelmart.loading import periods as P
-from reelmart.loading.tables import clear_periods, create_output, replace_periods, require_output
+from reelmart.loading.tables import create_output, drop_periods, periods_of, replace_periods, require_output
 from reelmart.plans.dimensions import Dimensions
 from reelmart.plans.registry import OUTPUTS, Output
 from reelmart.schemas import AUDIT_DDL
@@ -38,9 +40,14 @@ class Run:
     audit_table: str
     initial: str = INITIAL_DATE
     strict_max: bool = False
-    run_id: str = field(default_factory=lambda: uuid.uuid4().hex)
+    run_id: str = field(init=False, default="")
 
     def __post_init__(self):
+        self.title_rules = list(self.title_rules)
+        self._begin()
+
+    def _begin(self) -> None:
+        self.run_id = uuid.uuid4().hex
         self.dims = Dimensions(self.inputs, self.title_rules, keep=True)
         self.log: list[tuple] = []
         self._latest: dict[str, DataFrame] = {}
@@ -59,22 +66,22 @@ class Run:
         months are rebuilt, or with ``reprocess_all`` everything from the earliest of them on. The
         daily output is not reprocessed.
         """
-        self._latest.clear()
+        self._begin()
         months = sorted(m.strip() for m in (months_to_reprocess or "").split(",") if m.strip())
-        for name, table in self.tables.items():
-            output = OUTPUTS[name]
-            try:
-                require_output(self.spark, table)
-                if not months:
-                    calendar = self._pending(output, table)
-                elif output.daily:
-                    continue
-                else:
-                    calendar = self._reopened(output, table, months, reprocess_all)
-                self._load(output, table, calendar)
-            except Exception as error:  # recorded; the other outputs still run
-                self._record(output, None, None, FAILED, None, f"{type(error).__name__}: {error}"[:2000])
-        return self._write_audit()
+        try:
+            for name, table in self.tables.items():
+                output = OUTPUTS[name]
+                try:
+                    require_output(self.spark, table)
+                    if not months:
+                        self._load(output, table, self._pending(output, table).collect())
+                    elif not output.daily:
+                        self._reload(output, table, months, reprocess_all)
+                except Exception as error:  # recorded; the other outputs still run
+                    self._record(output, None, None, FAILED, None, f"{type(error).__name__}: {error}")
+            return self._write_audit()
+        finally:
+            self.dims.release()
 
     def _source(self, output: Output) -> DataFrame:
         """The latest day of the output's input, as a one-row table: a fact is searched for it once a run."""
@@ -85,46 +92,50 @@ class Run:
             self._latest[output.input] = self.spark.createDataFrame([(latest,)], f"{output.input_date} int")
         return self._latest[output.input]
 
+    def _present(self, output: Output, table: str) -> DataFrame:
+        """The periods that need no loading: those with rows, and those once loaded without any."""
+        logged = self.spark.table(self.audit_table)
+        empty = logged.where((F.col("OUTPUT") == output.name) & (F.col("STATUS") == LOADED) & (F.col("ROWS") == 0))
+        return self.spark.table(table).select(output.period).union(empty.select("PERIOD_END"))
+
     def _pending(self, output: Output, table: str) -> DataFrame:
-        source, loaded = self._source(output), self.spark.table(table)
+        source, loaded = self._source(output), self._present(output, table)
         if output.daily:
             bounds = P.day_bounds(source, output.input_date, loaded, output.period, self.initial)
             return bounds.where("START_DATE <= LATEST_DATE").toDF("PERIOD_START", "PERIOD_END")
         return P.pending_months(source, output.input_date, loaded, output.period, self.initial, self.strict_max)
 
-    def _reopened(self, output: Output, table: str, months: list[str], onwards: bool) -> DataFrame:
-        """Clear the months and give back the calendar to load.
+    def _reload(self, output: Output, table: str, months: list[str], onwards: bool) -> None:
+        """Load the months anew, and only then clear those of them that have no rows any more.
 
-        Should the load fail after that, the next regular run finds the cleared months missing.
+        The load replaces whole periods, so readers see the old rows until the new ones are there,
+        and a load that fails loses nothing.
         """
-        chosen = self.spark.createDataFrame([(m,) for m in months], "m string").select(F.col("m").cast("date"))
-        calendar = chosen.select(F.trunc("m", "MM").alias("PERIOD_START"), F.last_day("m").alias("PERIOD_END"))
-        if not onwards:
-            for (last,) in calendar.select("PERIOD_END").collect():
-                clear_periods(self.spark, output, table, str(last))
-            return calendar
-        clear_periods(self.spark, output, table, months[0], onwards=True)
-        bounds = P.day_bounds(
-            self._source(output), output.input_date, self.spark.table(table), output.period, self.initial
-        )
-        earliest = F.least("START_DATE", F.lit(months[0]).cast("date"))
-        return P.month_calendar(bounds.withColumn("START_DATE", earliest))
-
-    def _load(self, output: Output, table: str, calendar: DataFrame) -> None:
-        """All periods in one job: the month is part of the key and of the layout."""
-        days = calendar.collect()
+        first = date.fromisoformat(months[0])
+        if onwards:
+            bounds = self._source(output).select(F.lit(first).alias("START_DATE"), day_of_key(output.input_date).alias("LATEST_DATE"))
+            calendar = P.month_calendar(bounds).collect()
+        else:
+            chosen = self.spark.createDataFrame([(m,) for m in months], "m string").select(F.col("m").cast("date"))
+            calendar = chosen.select(F.trunc("m", "MM").alias("PERIOD_START"), F.last_day("m").alias("PERIOD_END")).distinct().collect()
+        written = self._load(output, table, calendar)
+        asked = {d.PERIOD_END for d in calendar}
+        stale = [d for d in periods_of(self.spark, output, table) if (d >= first if onwards else d in asked) and d not in written]
+        drop_periods(self.spark, output, table, stale)
+
+    def _load(self, output: Output, table: str, calendar: list[Row]) -> dict[date, int]:
+        """All periods in one job: the month is part of the key and of the layout. Returns the rows of periods that have any."""
+        days = sorted((d.PERIOD_START, d.PERIOD_END) for d in calendar)
         if not days:
             self._record(output, None, None, NOTHING_NEW, 0, None)
-            return
-        replace_periods(output.build(self.dims, P.as_periods(calendar)), output, table)
-        first, last = min(d.PERIOD_START for d in days), max(d.PERIOD_END for d in days)
-        written = self.spark.table(table).where(F.col(output.period).between(F.lit(first), F.lit(last)))
+            return {}
+        rows = replace_periods(output.build(self.dims, P.as_periods(days)), output, table)
         if output.daily:
-            self._record(output, first, last, LOADED, written.count(), None)
-            return
-        rows = dict(written.groupBy(output.period).count().collect())
-        for d in sorted(days):
-            self._record(output, d.PERIOD_START, d.PERIOD_END, LOADED, rows.get(d.PERIOD_END, 0), None)
+            self._record(output, days[0][0], days[-1][1], LOADED, sum(rows.values()), None)
+        else:
+            for start, end in days:
+                self._record(output, start, end, LOADED, rows.get(end, 0), None)
+        return rows
 
     def _record(self, output: Output, start: date | None, end: date | None, status: str, rows, message) -> None:
         now = datetime.now(timezone.utc)

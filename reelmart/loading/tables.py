@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 
 from reelmart.plans.registry import Output
 from reelmart.schemas import OUTPUT_DDL, output_schema
+from reelmart.session import remove
 
 
 def create_output(spark: SparkSession, output: Output, table: str, location: str | None = None) -> None:
@@ -76,32 +78,49 @@ def append(df: DataFrame, output: Output, table: str) -> None:
         _in_table_order(spark, df, output, table).write.insertInto(table)
 
 
-def replace_periods(df: DataFrame, output: Output, table: str) -> None:
+def _files(spark: SparkSession, output: Output, table: str) -> dict[date, tuple[int, set[str]]]:
+    """Rows and files of each period: one row per period reaches the driver."""
+    rows = spark.table(table).select(output.period, F.col("_metadata.file_path").alias("file"))
+    found = rows.groupBy(output.period).agg(F.count(F.lit(1)), F.collect_set("file")).collect()
+    return {day: (n, set(files)) for day, n, files in found}
+
+
+def replace_periods(df: DataFrame, output: Output, table: str) -> dict[date, int]:
     """Write whole periods; the ones present in ``df`` replace what the table had for them.
 
-    Running the same load twice leaves the same rows.
+    Running the same load twice leaves the same rows. Returns how many rows were written for each period.
     """
     spark = df.sparkSession
     require_output(spark, table)
+    before = {file for _, files in _files(spark, output, table).values() for file in files}
     with _write_settings(spark, "dynamic"):
         _in_table_order(spark, df, output, table).write.insertInto(table, overwrite=True)
+    return {day: n for day, (n, files) in _files(spark, output, table).items() if not files & before}
 
 
-def clear_periods(spark: SparkSession, output: Output, table: str, day: str, onwards: bool = False) -> list[str]:
-    """Remove one period, or it and everything after it. Returns the removed periods.
+def periods_of(spark: SparkSession, output: Output, table: str) -> list[date]:
+    return sorted(day for (day,) in spark.table(table).select(output.period).distinct().collect())
+
+
+def drop_periods(spark: SparkSession, output: Output, table: str, days: list[date]) -> None:
+    """Remove periods: their folders, then their entries, without a job.
 
-    Parquet has no row delete; a period is a partition, and is overwritten with nothing.
+    In this order a reader sees a period without files as empty, and a later append finds none of the old ones.
     """
+    if not days:
+        return
+    described = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'").first()
+    for day in days:
+        remove(spark, f"{described.data_type}/{output.period}={day}")
+    dropped = ", ".join(f"PARTITION ({output.period} = DATE'{day}')" for day in days)
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {dropped}")
+    spark.catalog.refreshTable(table)
+
+
+def clear_periods(spark: SparkSession, output: Output, table: str, day: str, onwards: bool = False) -> list[str]:
+    """Remove one period, or it and everything after it. Returns the removed periods."""
     require_output(spark, table)
-    period, limit = F.col(output.period), F.lit(day).cast("date")
-    wanted = spark.table(table).where(period >= limit if onwards else period == limit)
-    days = sorted(str(row[0]) for row in wanted.select(period).distinct().collect())
-    fields = [f for f in spark.table(table).schema if f.name != output.period]
-    nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}" for f in fields)
-    with _write_settings(spark, "static"):
-        for value in days:
-            spark.sql(
-                f"INSERT OVERWRITE TABLE {table} PARTITION ({output.period} = DATE'{value}') "
-                f"SELECT {nothing} WHERE false"
-            )
-    return days
+    limit = date.fromisoformat(day)
+    days = [d for d in periods_of(spark, output, table) if (d >= limit if onwards else d == limit)]
+    drop_periods(spark, output, table, days)
+    return list(map(str, days))

@@ -9,24 +9,34 @@ from pyspark.sql import DataFrame
 
 from reelmart.operators import dimensions as D
 from reelmart.operators.lookups import Lookup, lookup
-from reelmart.session import materialized
+from reelmart.session import materialized, remove
 from reelmart.sources.inputs import Inputs
 
 
 class Dimensions:
     """Conformed dimensions over one set of inputs.
 
-    With ``keep=True`` the derived ones are computed once and written to the checkpoint folder, so
-    that six marts do not classify the metadata six times. Without it they stay lazy.
+    With ``keep=True`` the derived ones are computed once and written to the shared folder, so
+    that six marts do not classify the metadata six times; ``release`` removes them. Without it they stay lazy.
     """
 
     def __init__(self, inputs: Inputs, title_rules: Iterable[D.TitleClause], keep: bool = False):
         self.inputs = inputs
         self.title_rules = list(title_rules)
         self.keep = keep
+        self.folders: list[str] = []
 
     def _kept(self, df: DataFrame) -> DataFrame:
-        return materialized(df) if self.keep else df
+        if not self.keep:
+            return df
+        df, folder = materialized(df)
+        self.folders.append(folder)
+        return df
+
+    def release(self) -> None:
+        """Remove what was written; the dimensions can't be used afterwards."""
+        while self.folders:
+            remove(self.inputs.metadata.sparkSession, self.folders.pop())
 
     @cached_property
     def forms(self) -> DataFrame:

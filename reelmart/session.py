@@ -45,7 +45,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def materialized(df: DataFrame) -> DataFrame:
-    """Compute once and cut the lineage; survives the loss of executors."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared storage, whatever its file system; an absent one is no error."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def materialized(df: DataFrame, name: str = "kept") -> tuple[DataFrame, str]:
+    """The rows written as Parquet in the shared folder, and where: cuts the lineage, survives lost executors.
+
+    Columns are kept as columns; the caller removes the folder when the rows are no longer needed.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path

@@ -1,13 +1,15 @@
 import uuid
+from dataclasses import replace
 from datetime import date
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from reelmart.functions.titles import sample_title_rules
-from reelmart.job import run_job
+from reelmart.job import run_job, summary
 from reelmart.loading import periods as P
 from reelmart.loading.run import Run
 from reelmart.loading.tables import append, clear_periods, conformed, create_output, replace_periods
@@ -60,8 +62,8 @@ def test_pending_months_fill_gaps(spark):
     assert [r[1] for r in rows(gaps, "*")] == ["2024-12-31", "2025-02-28", "2025-03-31"]
     strict = P.pending_months(facts, "REPORTING_DATE", done, strict_max=True)
     assert [r[1] for r in rows(strict, "*")] == ["2025-02-28", "2025-03-31"]
-    assert P.as_periods(gaps) == [(20241201, 20241231), (20250201, 20250331)]
-    assert P.as_periods(gaps.limit(0)) == []
+    assert P.as_periods(gaps.collect()) == [(20241201, 20241231), (20250201, 20250331)]
+    assert P.as_periods([]) == []
 
 
 def new_table(spark, output=DEVICE):
@@ -125,7 +127,8 @@ def test_missing_table_is_an_error(spark):
 def test_checkpoint_folder_is_the_session_setting(spark):
     folder = checkpoint_dir(spark)
     assert folder == spark.conf.get("spark.checkpoint.dir") and scratch_path(spark, "x").startswith(folder)
-    assert materialized(spark.range(3)).count() == 3
+    kept, path = materialized(spark.range(3))
+    assert kept.count() == 3 and path.startswith(folder)
 
 
 def fact(day, views, **more):
@@ -162,9 +165,8 @@ def test_run(spark, inputs):
     everything = [("2024-11-30", 1), ("2024-12-31", 2), ("2025-01-31", 3), ("2025-02-28", 4)]
     assert rows(device_table, "MONTH", "VIEWS") == everything
 
-    run.log.clear()
-    run.run_id = "second"
     again = run.execute()
+    assert again.count() == 3 and spark.table(run.audit_table).count() == 6 + 3
     assert {r[:3] for r in rows(again.where("OUTPUT <> 'traffic'"), "OUTPUT", "STATUS", "ROWS")} == {
         ("device", "nothing new", 0),
         ("daily_video", "nothing new", 0),
@@ -172,8 +174,6 @@ def test_run(spark, inputs):
     assert rows(spark.table(run.tables["device"]), "MONTH", "VIEWS") == everything
 
     for arguments in (("2024-12-01, 2025-01-01",), ("2024-12-01", True)):
-        run.log.clear()
-        run.run_id = uuid.uuid4().hex
         redone = run.execute(*arguments)
         assert rows(redone.where("OUTPUT = 'daily_video'"), "*") == []
         assert rows(spark.table(run.tables["device"]), "MONTH", "VIEWS") == everything
@@ -207,7 +207,60 @@ def test_job(spark, inputs):
         "create_under": scratch_path(spark, "job"),
     }
     november, december = ("2024-11-30", "loaded", 1), ("2024-12-31", "loaded", 0)
-    # December has facts but no row in the report, so it is not seen as present and is tried again.
-    for months, logged in ((None, [november, december]), (None, [december]), ("2024-11-01", [november])):
+    # December has facts but no row in the report; the audit table remembers that it was loaded.
+    for months, logged in ((None, [november, december]), (None, [(None, "nothing new", 0)]), ("2024-11-01", [november])):
         assert rows(run_job(spark, config, months), "PERIOD_END", "STATUS", "ROWS") == logged
         assert rows(spark.table(config["outputs"]["device"]), "MONTH", "VIEWS") == [("2024-11-30", 1)]
+
+
+@pytest.mark.parametrize("strict", [False, True])
+def test_failed_reprocess_loses_nothing(spark, inputs, strict, monkeypatch):
+    """Readers keep the old rows when a reload fails, and the next regular run finds nothing missing."""
+    facts = [fact(20241115, 1), fact(20241220, 2), fact(20250110, 3), fact(20250228, 4)]
+    run = make_run(spark, inputs(combined=facts, device_dim=[dict(DEVICE_TYPE=1, DEVICE_TYPE_NAME="TV")]), "device")
+    run.strict_max = strict
+    run.execute()
+    before = rows(spark.table(run.tables["device"]), "MONTH", "VIEWS")
+    good = OUTPUTS["device"].build
+    broken = replace(DEVICE, build=lambda d, p=None: good(d, p).where(F.raise_error(F.lit("lost " + "x" * 5000)).isNull()))
+    monkeypatch.setitem(OUTPUTS, "device", broken)
+    for arguments in (("2024-12-01",), ("2024-12-01", True)):
+        audit = run.execute(*arguments)
+        assert rows(audit, "STATUS") == [("failed",)] and "x" * 5000 in audit.first().MESSAGE
+        assert rows(spark.table(run.tables["device"]), "MONTH", "VIEWS") == before
+    monkeypatch.setitem(OUTPUTS, "device", DEVICE)
+    assert rows(run.execute(), "STATUS") == [("nothing new",)]
+    assert rows(spark.table(run.tables["device"]), "MONTH", "VIEWS") == before
+
+
+def test_reprocess_clears_periods_without_rows(spark, inputs):
+    facts = [fact(20241115, 1), fact(20241220, 2), fact(20250110, 3), fact(20250228, 4)]
+    dim = [dict(DEVICE_TYPE=1, DEVICE_TYPE_NAME="TV")]
+    run = make_run(spark, inputs(combined=facts, device_dim=dim), "device")
+    run.execute()
+    run.inputs = inputs(combined=[facts[0], fact(20250110, 7), facts[3]], device_dim=dim)
+    logged = rows(run.execute("2024-12-01, 2025-01-01"), "PERIOD_END", "STATUS", "ROWS")
+    assert logged == [("2024-12-31", "loaded", 0), ("2025-01-31", "loaded", 1)]
+    assert rows(spark.table(run.tables["device"]), "MONTH", "VIEWS") == [("2024-11-30", 1), ("2025-01-31", 7), ("2025-02-28", 4)]
+    run.inputs = inputs(combined=[facts[0], fact(20241220, 5), fact(20250101, 1)], device_dim=dim)
+    run.execute("2024-12-01", True)
+    assert rows(spark.table(run.tables["device"]), "MONTH", "VIEWS") == [("2024-11-30", 1), ("2024-12-31", 5)]
+
+
+def test_a_run_leaves_no_scratch(spark, inputs):
+    facts = [fact(20241115, 1), fact(20241220, 2)]
+    run = make_run(spark, inputs(basic=facts, combined=facts), "device", "traffic", "region", "monthly_video")
+    folder = Path(checkpoint_dir(spark).removeprefix("file://"))
+    run.execute()
+    before = set(folder.iterdir())
+    run.execute("2024-11-01", True)
+    assert set(folder.iterdir()) == before
+
+
+def test_summary_has_a_line_for_each_outcome(spark, inputs):
+    facts = [fact(20241115, 1), fact(20241220, 2)]
+    run = make_run(spark, inputs(combined=facts, device_dim=[dict(DEVICE_TYPE=1, DEVICE_TYPE_NAME="TV")]), "device", "region")
+    assert summary(run.execute()) == [
+        "device: loaded, 1 periods (2024-11-01 to 2024-11-30), 1 rows",
+        "region: failed, 1 periods (None to None), 0 rows: ValueError: input basic has no REPORTING_DATE",
+    ]
