@@ -28,10 +28,11 @@ from reelmart.operators.facts import (
     view_rows,
 )
 
-#: Exact products within 38 digits: a share of up to 10 decimals times a count or minutes.
-SHARE = "decimal(16,10)"
-AGE_SHARE = "decimal(18,10)"
-COUNT = "decimal(18,0)"
+#: What a sum of shares, or of shares times ages, has before the point; counts and minutes of one key.
+#: Products with counts are exact for shares of up to 13 decimals, with minutes for up to 10.
+SHARE_DIGITS = 6
+AGE_SHARE_DIGITS = 8
+COUNT = "decimal(16,0)"
 MINUTES = "decimal(21,8)"
 
 
@@ -90,8 +91,10 @@ def _views_by(basic: DataFrame, keys: Iterable[str], periods: Periods) -> DataFr
     return own.withColumnRenamed("UPLOADER_TYPE", "UPLOADER_CODE").groupBy(*keys).agg(*sums(COUNT_SUMS))
 
 
-def _products(share: str, kind: str = SHARE) -> tuple[Column, Column]:
-    weight = F.col(share).cast(kind)
+def _products(joined: DataFrame, share: str, digits: int = SHARE_DIGITS) -> tuple[Column, Column]:
+    """The share times views and minutes, with all decimals of the share."""
+    scale = joined.schema[share].dataType.scale
+    weight = F.col(share).cast(f"decimal({digits + scale},{scale})")
     return weight * F.col("VIEWS").cast(COUNT), weight * F.col("WATCH_TIME_MINUTES").cast(MINUTES)
 
 
@@ -119,9 +122,10 @@ def demo_join(
         .groupBy(*kept, "GENDER", "MID_AGE")
         .agg(F.sum("VIEW_SHARE").alias("VIEW_SHARE"))
     )
-    views, minutes = _products("VIEW_SHARE")
     final = DEMO_KEYS + (["GEO"] if keep_geo else []) + ["GENDER", "MID_AGE"]
-    joined = shares.join(_views_by(basic, keys, periods), keys, "left").select(
+    joined = shares.join(_views_by(basic, keys, periods), keys, "left")
+    views, minutes = _products(joined, "VIEW_SHARE")
+    joined = joined.select(
         *final, minutes.alias("DEMO_WATCH_TIME_MINUTES"), views.alias("DEMO_VIEWS")
     )
     if match_geo and not keep_geo:
@@ -155,17 +159,16 @@ def demo_totals(basic: DataFrame, demographics: DataFrame, periods: Periods = No
         )
     )
     joined = shares.join(_views_by(basic, DEMO_KEYS, periods), DEMO_KEYS, "left")
-    views, minutes = _products("ALL_SHARE")
+    views, minutes = _products(joined, "ALL_SHARE")
     measures = {
         "VIEWS": views,
         "WATCH_TIME_MINUTES": minutes,
-        "AGE_VIEWS": _products("AGE_SHARE", AGE_SHARE)[0],
-        "MALE_VIEWS": _products("MALE_SHARE")[0],
-        "FEMALE_VIEWS": _products("FEMALE_SHARE")[0],
-        "UNSPECIFIED_VIEWS": _products("UNSPECIFIED_SHARE")[0],
+        "AGE_VIEWS": _products(joined, "AGE_SHARE", AGE_SHARE_DIGITS)[0],
+        "MALE_VIEWS": _products(joined, "MALE_SHARE")[0],
+        "FEMALE_VIEWS": _products(joined, "FEMALE_SHARE")[0],
+        "UNSPECIFIED_VIEWS": _products(joined, "UNSPECIFIED_SHARE")[0],
     }
     keys = [month_of_key("REPORTING_DATE").alias("MONTH"), "VIDEO_ID", "CHANNEL_ID"]
-    # Eight decimals are what the report shows, and leave room for large sums times their copies.
     return joined.groupBy(*keys, F.col("UPLOADER_CODE").alias("UPLOADER_TYPE")).agg(
-        *[F.sum(m).cast("decimal(38,8)").alias(name) for name, m in measures.items()]
+        *[F.sum(m).alias(name) for name, m in measures.items()]
     )

@@ -11,6 +11,7 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reelmart.functions import fixed_values as V
 from reelmart.functions.buckets import age_midpoint, geo_bucket
@@ -89,6 +90,18 @@ def demo_views(basic: DataFrame, periods: Periods = None) -> DataFrame:
     return own_views(basic, periods).groupBy(*keys).agg(*sums(COUNT_SUMS))
 
 
+def percentage_share(demographics: DataFrame) -> Column:
+    """VIEW_PERCENTAGE as an exact fraction of 1: two decimals more than the input has.
+
+    A decimal keeps all its decimals. A floating-point percentage has none of its own and is read to
+    ten decimals, part of what is asked of that input.
+    """
+    kind = demographics.schema["VIEW_PERCENTAGE"].dataType
+    scale = kind.scale if isinstance(kind, T.DecimalType) else 0 if isinstance(kind, T.IntegralType) else 10
+    wide = F.col("VIEW_PERCENTAGE").cast(f"decimal({min(38, scale + 5)},{scale})")
+    return (wide * Decimal("0.01")).alias("VIEW_SHARE")
+
+
 def demo_rows(demographics: DataFrame, periods: Periods = None) -> DataFrame:
     """Demographics of own uploads: the exact share (a fraction of 1) and the age midpoint."""
     own = demographics.where(in_periods("REPORTING_DATE", periods) & (F.col("UPLOADER_CODE") == V.OWN_UPLOADER))
@@ -100,7 +113,7 @@ def demo_rows(demographics: DataFrame, periods: Periods = None) -> DataFrame:
         geo_bucket("COUNTRY_CODE").alias("GEO"),
         "GENDER",
         age_midpoint("AGE_GROUP").alias("MID_AGE"),
-        (F.col("VIEW_PERCENTAGE").cast("decimal(11,8)") * Decimal("0.01")).alias("VIEW_SHARE"),
+        percentage_share(demographics),
     )
 
 

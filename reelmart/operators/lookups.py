@@ -8,12 +8,8 @@ from operator import add, and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-#: A dimension is copied to every executor only if it was counted to stay below both bounds.
-BROADCAST_ROWS = 500_000
-BROADCAST_BYTES = 64 * 1024 * 1024
-#: Above them, each fact key is spread over this many join partitions.
+#: A dimension said to be large: each fact key is spread over this many join partitions.
 SALTS = 32
 
 _KEY = "_lookup_key"
@@ -22,33 +18,32 @@ _SALT = "_lookup_salt"
 
 @dataclass(frozen=True)
 class Lookup:
-    """A dimension with the key to find it by, and whether it is proven to be small."""
+    """A dimension with the key to find it by.
+
+    ``large``: its join is always a salted shuffle. Otherwise the join is left to adaptive execution,
+    which broadcasts a side that turns out to be small and splits the partition of a hot key.
+    """
 
     rows: DataFrame
     keys: tuple[str, ...]
-    small: bool
+    large: bool = False
 
 
-def lookup(rows: DataFrame, *keys: str, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> Lookup:
-    """Measure a dimension, by one aggregation over it, and note whether it may be broadcast."""
-    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in rows.schema if isinstance(f.dataType, T.StringType)]
-    text_bytes = reduce(add, texts, F.lit(0)).cast("long")
-    n, size = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(text_bytes), F.lit(0))).first()
-    return Lookup(rows, keys, n <= max_rows and size + 16 * n * len(rows.columns) <= max_bytes)
+def lookup(rows: DataFrame, *keys: str, large: bool = False) -> Lookup:
+    """Name the key of a dimension; nothing is computed."""
+    return Lookup(rows, keys, large)
 
 
 def join_lookup(facts: DataFrame, dim: Lookup, *fact_keys: str, how: str = "left", null_safe: bool = False) -> DataFrame:
     """Join facts with a dimension (``left`` or ``inner``); the dimension's keys are dropped.
 
-    A small dimension is broadcast. A large one is joined by shuffle on (key, salt): the salt is a
-    hash of the fact row, and every dimension row is present under all salts, so a key that holds a
-    large part of the facts (or NULL) is shared out over many tasks. Both ways give the same rows.
+    For a dimension said to be large, the shuffle is on (key, salt): the salt is a hash of the fact
+    row, and every dimension row is present under all salts, so a key that holds a large part of the
+    facts (or NULL) is shared out over many tasks. Both ways give the same rows.
     """
     aliases = [f"{_KEY}_{i}" for i in range(len(dim.keys))]
     rows = dim.rows.withColumnsRenamed(dict(zip(dim.keys, aliases)))
-    if dim.small:
-        rows = F.broadcast(rows)
-    else:
+    if dim.large:
         facts = facts.withColumn(_SALT, F.pmod(F.xxhash64(*facts.columns), F.lit(SALTS)).cast("int"))
         rows = rows.withColumn(f"{_SALT}_r", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
 
@@ -57,6 +52,6 @@ def join_lookup(facts: DataFrame, dim: Lookup, *fact_keys: str, how: str = "left
         return left.eqNullSafe(right) if null_safe else left == right
 
     tests = [same(k, a) for k, a in zip(fact_keys, aliases)]
-    if not dim.small:
+    if dim.large:
         tests.append(F.col(_SALT) == F.col(f"{_SALT}_r"))
     return facts.join(rows, reduce(and_, tests), how).drop(*aliases, _SALT, f"{_SALT}_r")

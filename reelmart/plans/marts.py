@@ -27,9 +27,10 @@ from reelmart.operators.dimensions import (
 )
 from reelmart.operators.facts import COUNT_SUMS, Periods, combined_by_code, sums
 from reelmart.operators.lookups import join_lookup
-from reelmart.operators.profile import PROFILE_SUMS, profile_columns
+from reelmart.operators.profile import PROFILE_SUMS, as_one, in_two_parts, profile_columns
 from reelmart.plans.dimensions import Dimensions
 
+#: The columns of the video reports after the platform and the period, in report order.
 VIDEO_COLUMNS = [
     "PUBLISHED_DATE",
     "VIDEO_ID",
@@ -92,11 +93,13 @@ def _with_forms(facts: DataFrame, dims: Dimensions, measures: list[str]) -> Data
 def demographics_mart(dims: Dimensions, periods: Periods = None) -> DataFrame:
     """Audience profile by month, channel and form, with a subtotal over the forms named ALL."""
     inputs = dims.inputs
-    totals = _with_forms(demo_totals(inputs.basic, inputs.demographics, periods), dims, PROFILE_SUMS)
+    measures = [*PROFILE_SUMS, *(f"{n}_REST" for n in PROFILE_SUMS)]
+    totals = _with_forms(in_two_parts(demo_totals(inputs.basic, inputs.demographics, periods)), dims, measures)
     keys = ["MONTH", "CHANNEL_ID", "UPLOADER_TYPE"]
     levels = totals.groupingSets([[*keys, "VIDEO_FORM"], keys], *keys, "VIDEO_FORM").agg(
-        *sums(PROFILE_SUMS), F.grouping("VIDEO_FORM").alias("_all")
+        *sums(measures), F.grouping("VIDEO_FORM").alias("_all")
     )
+    levels = as_one(levels)
     form = F.when(F.col("_all") == 1, V.ALL_FORMS).otherwise(F.col("VIDEO_FORM"))
     return map_channel(levels.withColumn("VIDEO_FORM", form), dims.channels).select(
         F.lit(V.PLATFORM).alias("PLATFORM"),

@@ -17,6 +17,7 @@ def local_session(cores: int | str = 8, app: str = "reelmart") -> SparkSession:
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.files.maxPartitionBytes", "4m")  # small tables, but all cores
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="reelmart-wh-"))
         .getOrCreate()

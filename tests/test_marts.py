@@ -5,6 +5,8 @@ from conftest import SCHEMAS, SMALL, rows
 from pyspark.sql import functions as F
 
 from reelmart.functions.titles import sample_title_rules
+from reelmart.operators.combine import demo_join
+from reelmart.operators.profile import demo_profile
 from reelmart.plans import marts as M
 from reelmart.plans.dimensions import Dimensions
 from reelmart.plans.registry import OUTPUTS
@@ -117,12 +119,12 @@ def test_profile_percentages_do_not_exceed_the_whole(star_dims):
 
 
 def test_large_dimensions_give_the_same_marts(star, star_dims, monkeypatch):
-    """Nothing is small enough to broadcast: every lookup is salted, and the reports stay the same."""
+    """Every dimension is said to be large: all lookups are salted, and the reports stay the same."""
     from reelmart.operators import dimensions, lookups
     from reelmart.plans import dimensions as prepared
 
-    def never_small(df, *keys, **_):
-        return lookups.Lookup(df, keys, small=False)
+    def never_small(df, *keys):
+        return lookups.Lookup(df, keys, large=True)
 
     monkeypatch.setattr(prepared, "lookup", never_small)
     monkeypatch.setattr(dimensions, "lookup", never_small)
@@ -221,3 +223,26 @@ def test_inputs_name_missing_columns(inputs):
     good = inputs()
     with pytest.raises(ValueError, match="basic lacks VIEWS"):
         Inputs(**{**good.__dict__, "basic": good.basic.drop("VIEWS")})
+
+
+def test_small_shares_are_not_rounded_before_they_are_summed(dims):
+    """A thousand videos with a view and a tiny share each: the mart agrees with the detail's profile."""
+    videos = [f"v{i}" for i in range(1000)]
+    share = dict(KEY, REPORTING_DATE=20250105, UPLOADER_CODE="self", GENDER="MALE", AGE_GROUP="AGE_18_24", VIEW_PERCENTAGE=0.00000033)
+    d = dims(
+        basic=[dict(KEY, REPORTING_DATE=20250105, VIDEO_ID=v, VIEWS=1) for v in videos],
+        demographics=[dict(share, VIDEO_ID=v) for v in videos],
+        metadata=[meta("clip", VIDEO_ID=v) for v in videos],
+    )
+    got = M.demographics_mart(d).where("VIDEO_FORM = 'ALL'")
+    detail = demo_profile(demo_join(d.inputs.basic, d.inputs.demographics), ["MONTH"])
+    names = ["VIEWS", "WATCH_TIME_MINUTES", "MEDIAN_AGE", "PERCENTAGE_MALE"]
+    assert rows(got, *names) == rows(detail.select(*[F.col(n).cast("decimal(38,8)").alias(n) for n in names]), *names) == [(0.0000033, 0.0000165, 21.0, 100.0)]
+
+
+@pytest.mark.parametrize("name", list(OUTPUTS))
+def test_building_a_mart_starts_no_job(spark, star, name):
+    spark.sparkContext.setJobGroup(f"build {name}", "")
+    OUTPUTS[name].build(Dimensions(star, sample_title_rules()), None)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup(f"build {name}")
+    spark.sparkContext.setJobGroup("", "")

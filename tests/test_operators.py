@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from reelmart.operators import combine as C
 from reelmart.operators import dimensions as D
-from reelmart.operators.lookups import Lookup, join_lookup, lookup
+from reelmart.operators.lookups import join_lookup, lookup
 from reelmart.operators.profile import demo_profile, with_group_total
 
 KEY = dict(CHANNEL_ID="c", VIDEO_ID="v", UPLOADER_TYPE="self", COUNTRY_CODE="US")
@@ -185,11 +185,10 @@ def test_profile(spark):
 
 @pytest.mark.parametrize("how", ["left", "inner"])
 @pytest.mark.parametrize("null_safe", [False, True])
-def test_salted_lookup_equals_broadcast(spark, how, null_safe):
+def test_salted_lookup_equals_the_plain_one(spark, how, null_safe):
     facts = spark.range(300).select("id", F.when(F.col("id") % 3 > 0, "hot").when(F.col("id") % 2 == 0, "cold").alias("k"))
     dim = spark.createDataFrame([("hot", 1), ("hot", 2), ("cold", 3), ("unused", 4), (None, 5)], "key string, x int")
-    small, large = lookup(dim, "key"), Lookup(dim, ("key",), small=False)
-    assert small.small and not lookup(dim, "key", max_rows=4).small and not lookup(dim, "key", max_bytes=100).small
+    small, large = lookup(dim, "key"), lookup(dim, "key", large=True)
     a = join_lookup(facts, small, "k", how=how, null_safe=null_safe)
     b = join_lookup(facts, large, "k", how=how, null_safe=null_safe)
     assert a.columns == b.columns == ["id", "k", "x"]
@@ -199,7 +198,7 @@ def test_salted_lookup_equals_broadcast(spark, how, null_safe):
 def test_large_lookup_spreads_a_hot_key(spark):
     facts = spark.range(2000).select("id", F.lit("hot").alias("k"))
     dim = spark.createDataFrame([("hot", 1)], "key string, x int")
-    joined = join_lookup(facts, Lookup(dim, ("key",), small=False), "k")
+    joined = join_lookup(facts, lookup(dim, "key", large=True), "k")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
