@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from oracle_queries import ORACLES  # noqa: E402
+from oracle_queries import ON_DENSE_FACTS, ORACLES  # noqa: E402
 from reelmart.functions import buckets as B  # noqa: E402
 from reelmart.functions.dates import day_of_key, month_of_key  # noqa: E402
 from reelmart.functions.program_ids import program_id  # noqa: E402
@@ -84,10 +84,10 @@ def portable(df: DataFrame) -> DataFrame:
 class Session:
     """The star in one folder, with inputs and dimensions opened as a query needs them."""
 
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, dense: bool = False):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
         self.spark = spark
-        self.star = Star(spark, folder)
+        self.star = Star(spark, folder, dense)
 
     def __getattr__(self, name: str) -> DataFrame:
         return self.star.input(name)
@@ -229,8 +229,13 @@ def _reprocess(s: Session) -> DataFrame:
 
 
 def _audit(s: Session) -> DataFrame:
-    audit = _checked(s.run("device").execute())
-    return audit.select("OUTPUT", "PERIOD_START", "PERIOD_END", "STATUS", "ROWS")
+    """Two executions of one run: all rows that the audit table then has."""
+    run = s.run("device")
+    first = _checked(run.execute()).first().RUN_ID
+    _checked(run.execute())
+    audit = s.spark.table(run.audit_table)
+    number = F.when(F.col("RUN_ID") == first, 1).otherwise(2).alias("RUN")
+    return audit.select("OUTPUT", "PERIOD_START", "PERIOD_END", "STATUS", "ROWS", number)
 
 
 def _all_outputs(s: Session) -> DataFrame:
@@ -306,6 +311,7 @@ _QUERIES: dict[str, Callable[[Session], DataFrame]] = {
         _views_by(_named_views(s), "CHANNEL_ID", "CHANNEL_NAME"), s.brand_map
     ),
     "repeated_videos": lambda s: D.repeated_videos(s.metadata),
+    "repeated_dimension_keys": lambda s: D.repeated_keys(s.star.inputs()),
     "program_lookup": lambda s: D.repeated(s.dims.programs).drop("CUSTOM_ID", "THIRD_PARTY_VIDEO_ID"),
     "series_correction": lambda s: _video_key(
         D.map_series(s.months, s.dims.series_by_video), "VIEWS", "EXTRACTED_PPL_ID", "SERIES_ID", "SERIES_NAME"
@@ -354,12 +360,13 @@ def entry(spark: SparkSession) -> DataFrame:
     return queries()["video_monthly"](spark, "/root/testdata/sf0.001")
 
 
-def _query(build: Callable[[Session], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, folder: portable(build(Session(spark, folder)))
+def _query(build: Callable[[Session], DataFrame], dense: bool = False) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, folder: portable(build(Session(spark, folder, dense)))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _query(build) for name, build in _QUERIES.items()} | _MORE
+    plain = {name: _query(build) for name, build in _QUERIES.items()}
+    return plain | {f"dense_{name}": _query(_QUERIES[name], dense=True) for name in ON_DENSE_FACTS} | _MORE
 
 
 def oracle_sql() -> dict[str, str]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from reelmart.functions.dates import upload_time
 from reelmart.functions.program_ids import program_id
 from reelmart.functions.titles import TitleClause, title_form, title_series, video_form
 from reelmart.operators.lookups import Lookup, join_lookup, lookup
+from reelmart.sources.inputs import Inputs
 
 # Joins by video.
 
@@ -81,6 +83,27 @@ def repeated_videos(metadata: DataFrame) -> DataFrame:
     return copies.where((F.col("COPIES") > 1) & F.col("VIDEO_ID").isNotNull())
 
 
+#: What the other dimensions are found by.
+DIMENSION_KEYS = {
+    "program": "PROGRAM_ID",
+    "corrected_series": "DOMO_SERIES_NAME",
+    "brand_map": "CHANNEL_NAME",
+    "country_info": "COUNTRY_CODE",
+    "traffic_dim": "TRAFFIC_SOURCE_TYPE_ID",
+    "device_dim": "DEVICE_TYPE",
+}
+
+
+def repeated_keys(inputs: Inputs) -> DataFrame:
+    """Data check: keys that a dimension has more than once, so that the facts they match count several times."""
+
+    def check(name: str, key: str) -> DataFrame:
+        copies = getattr(inputs, name).groupBy(F.col(key).cast("string").alias("KEY")).agg(F.count(F.lit(1)).alias("COPIES"))
+        return copies.where((F.col("COPIES") > 1) & F.col("KEY").isNotNull()).select(F.lit(name).alias("DIMENSION"), "KEY", "COPIES")
+
+    return reduce(DataFrame.union, (check(name, key) for name, key in DIMENSION_KEYS.items()))
+
+
 # Channels.
 
 

@@ -107,9 +107,54 @@ _TITLE = """CASE p_size % 14
                 WHEN 11 THEN p_name || ' angry sellers lose their cool #shorts'
                 WHEN 12 THEN upper(p_name) || ' COMPILATION'
                 ELSE p_name || ' clip' END"""
+# Every phrase that decides a form, one after another.
+_PHRASE = """CASE CAST(floor(p_partkey / 3) AS BIGINT) % 64
+                WHEN 0 THEN ' mega marathon'
+                WHEN 1 THEN ' Marathon'
+                WHEN 2 THEN ' full episode'
+                WHEN 3 THEN ' Full Episodes'
+                WHEN 4 THEN ' full movie'
+                WHEN 5 THEN ' Full Documentary'
+                WHEN 6 THEN ' ultimate guide'
+                WHEN 7 THEN ' Full Ep'
+                WHEN 8 THEN ' full length'
+                WHEN 9 THEN ' Husband Vanished After 37 Years'
+                WHEN 10 THEN ' buried: knights templar and the holy grail'
+                WHEN 11 THEN ' Wanda Durant Story'
+                WHEN 12 THEN ' college admissions scandal'
+                WHEN 13 THEN ' James Van Der Beek'
+                WHEN 14 THEN ' 14-year-old girl goes missing while walking dog'
+                WHEN 15 THEN ' He Buried Teen Girl Five Feet Under After Night Out'
+                WHEN 16 THEN ' real estate mom disappears during showing'
+                WHEN 17 THEN ' Teen Cheerleader Is Abducted By Family Friend'
+                WHEN 18 THEN ' compilation'
+                WHEN 19 THEN ' Compilations'
+                WHEN 20 THEN ' top '
+                WHEN 21 THEN ' Most Viewed Moments'
+                WHEN 22 THEN ' best moments of all time'
+                WHEN 23 THEN ' Moments Of All Time'
+                WHEN 24 THEN ' blow your mind'
+                WHEN 25 THEN ' Jaw-Dropping'
+                WHEN 26 THEN ' mind-boggling'
+                WHEN 27 THEN ' Deadliest'
+                WHEN 28 THEN ' more super rare'
+                WHEN 29 THEN ' Horrifying Strange Creatures'
+                WHEN 30 THEN ' rapid fire negotiations'
+                WHEN 31 THEN ' Most Iconic Moments'
+                WHEN 32 THEN ' greatest hits'
+                WHEN 33 THEN ' Best Of'
+                WHEN 34 THEN ' of all time'
+                WHEN 35 THEN ' Insanely High Appraisals'
+                WHEN 36 THEN ' rare & patriotic us military items'
+                WHEN 37 THEN ' High Value Appraisals'
+                WHEN 38 THEN ' super rare high value items'
+                WHEN 39 THEN ' Angry Sellers Lose Their Cool'
+                WHEN 40 THEN ' shorts'
+                WHEN 41 THEN ' #Shorts'
+                ELSE '' END"""
 _METADATA = f"""
     SELECT 'v' || CAST(p_partkey AS STRING) AS VIDEO_ID,
-           {_TITLE} AS VIDEO_TITLE,
+           {_TITLE} || CASE WHEN p_size % 14 IN (9, 13) THEN {_PHRASE} ELSE '' END AS VIDEO_TITLE,
            CASE WHEN p_partkey % 31 = 0 THEN NULL ELSE p_size * 60 END AS VIDEO_LENGTH,
            CASE WHEN p_partkey % 101 = 0 THEN NULL
                 ELSE '20' || CAST(10 + p_partkey % 15 AS STRING) || '/0' || CAST(1 + p_partkey % 9 AS STRING)
@@ -170,7 +215,9 @@ BRAND_MAP = """
     SELECT CASE n_nationkey WHEN 0 THEN 'Vikings' WHEN 1 THEN 'Biography' WHEN 2 THEN 'Parking Wars'
                 ELSE 'Channel of Brand#' || CAST(n_nationkey AS STRING) END AS CHANNEL_NAME,
            'Brand ' || r_name AS BRAND_ROLL_UP
-    FROM {nation} JOIN {region} ON n_regionkey = r_regionkey"""
+    FROM {nation} JOIN {region} ON n_regionkey = r_regionkey
+    UNION ALL
+    SELECT 'Biography', 'A second brand' FROM {nation} WHERE n_nationkey = 1"""
 
 COUNTRY_INFO = """
     SELECT CASE WHEN n_nationkey = 0 THEN 'US' ELSE n_name END AS COUNTRY_CODE,
@@ -193,6 +240,13 @@ DEVICE_DIM = """
                 ELSE 'Device ' || n_name END AS DEVICE_TYPE_NAME
     FROM {nation}"""
 
+#: The line items with few keys: several rows of every key, several days a month, several countries a video.
+DENSE_LINEITEM = """
+    SELECT l_orderkey, 1 + l_partkey % 9 AS l_partkey, 6 * (l_suppkey % 5) AS l_suppkey, l_linenumber, l_quantity,
+           l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus,
+           make_date(1997, month(l_shipdate), 1 + 10 * (day(l_shipdate) % 3)) AS l_shipdate
+    FROM {lineitem}"""
+
 ADAPTERS = {
     "basic": BASIC,
     "revenue": REVENUE,
@@ -221,11 +275,12 @@ STAR_SCHEMAS = {
 
 
 class Star:
-    """The star in one folder. Tables are opened once, with their schema given."""
+    """The star in one folder. Tables are opened once, with their schema given. ``dense``: facts of few keys."""
 
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, dense: bool = False):
         self.spark = spark
         self.folder = folder
+        self.dense = dense
 
     @cache
     def table(self, name: str) -> DataFrame:
@@ -236,6 +291,8 @@ class Star:
         """One input of the marts."""
         text = ADAPTERS[name]
         used = {t: self.table(t) for t in STAR_SCHEMAS if "{" + t + "}" in text}
+        if self.dense and "lineitem" in used:
+            used["lineitem"] = self.spark.sql(DENSE_LINEITEM, lineitem=used["lineitem"])
         return self.spark.sql(text, **used)
 
     def inputs(self) -> Inputs:
