@@ -93,4 +93,39 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_sharding": op10_sharding,
 }
 
-ORACLES: dict[str, str] = {}
+_ESCAPED = rf"""regexp_replace({{}}, '{chat_parts._ESCAPE}', '\1\\\2\3', 'g')"""
+_FRAME = len(chat_parts.START) + len(chat_parts.SEPARATOR) + len(chat_parts.END)
+
+#: The others rest on hashes, models, permutations or searches that SQL doesn't have; tests hold them against brute force.
+ORACLES: dict[str, str] = {
+    "op6_chat": f"""
+        WITH turns AS (
+            SELECT conv_id, turn, COALESCE(role, '') AS role, COALESCE(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+            UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]')
+        SELECT conv_id, COUNT(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               CAST(SUM(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+               sha256(COALESCE(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), ''))
+                   AS loss_sha256,
+               CAST(SUM({_FRAME} + length({_ESCAPED.format("role")}) + length({_ESCAPED.format("text")})) AS BIGINT)
+                   AS formatted_chars
+        FROM turns GROUP BY conv_id""",
+    "op8_substrings": r"""
+        WITH split AS (
+            SELECT doc_id, list_filter(string_split_regex(COALESCE(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')
+                AS words FROM documents),
+        places AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM split),
+        windows AS (
+            SELECT doc_id, i, word, string_agg(word, ' ') OVER near AS following, COUNT(*) OVER near AS n FROM places
+            WINDOW near AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING)),
+        later AS (
+            SELECT doc_id, i, word, n = 20 AND row_number() OVER (PARTITION BY following, n ORDER BY doc_id, i) > 1
+                AS again FROM windows),
+        marked AS (
+            SELECT doc_id, i, word, bool_or(again)
+                OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS gone FROM later)
+        SELECT doc_id, COUNT(i) AS n_words, COUNT(*) FILTER (WHERE gone) AS n_removed,
+               sha256(COALESCE(string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+        FROM documents LEFT JOIN marked USING (doc_id) GROUP BY doc_id""",
+}
