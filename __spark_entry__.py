@@ -21,7 +21,6 @@ from reelmart.functions.program_ids import program_id  # noqa: E402
 from reelmart.functions.titles import (  # noqa: E402
     TitleClause,
     sample_title_rules,
-    title_rules_from,
     title_series,
 )
 from reelmart.loading import periods as P  # noqa: E402
@@ -31,6 +30,7 @@ from reelmart.operators import combine as C  # noqa: E402
 from reelmart.operators import dimensions as D  # noqa: E402
 from reelmart.operators import facts as S  # noqa: E402
 from reelmart.operators.lookups import join_lookup  # noqa: E402
+from reelmart.operators.title_rules import label_by_rules  # noqa: E402
 from reelmart.operators.profile import demo_geo_sum, demo_profile, with_group_total  # noqa: E402
 from reelmart.plans import marts as M  # noqa: E402
 from reelmart.plans.dimensions import Dimensions  # noqa: E402
@@ -154,12 +154,16 @@ def _region_flags(s: Session) -> DataFrame:
 
 
 def _rule_table(s: Session) -> DataFrame:
+    """Rules that are data: every benchmark item is a phrase to look for in every document."""
     rules = s.star.table("benchmark").select(
         F.col("item_id").alias("ordinal"),
         F.concat(F.lit("item "), F.col("item_id").cast("string")).alias("label"),
         F.array(F.lower("text")).alias("contains"),
+        F.lit(None).cast("array<string>").alias("lacks"),
+        F.lit(None).cast("string").alias("equals"),
     )
-    return s.star.table("documents").select("doc_id", title_series("text", title_rules_from(rules)).alias("DOMO_SERIES_NAME"))
+    labelled = label_by_rules(s.star.table("documents"), "text", rules, "DOMO_SERIES_NAME")
+    return labelled.select("doc_id", "DOMO_SERIES_NAME")
 
 
 def _date_keys(s: Session) -> DataFrame:
