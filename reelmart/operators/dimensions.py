@@ -208,14 +208,21 @@ def corrected_series(programs: DataFrame, corrected: Lookup) -> DataFrame:
 
 
 def map_series(facts: DataFrame, series_by_video: DataFrame) -> DataFrame:
-    """Join series by video; a video without metadata gets the id -1 and the name ``other``."""
+    """Join series by video; a video without metadata gets the id -1 and the name ``other``.
+
+    With COPIES on the series' side, a row appears once per copy. It is repeated after the join, so that
+    what a join may broadcast is never larger than it was counted to be.
+    """
     joined = join_by_video(facts, series_by_video.withColumn("_known", F.lit(True)))
-    return joined.withColumns(
+    joined = joined.withColumns(
         {
             "SERIES_ID": F.when(F.col("_known"), F.col("SERIES_ID")).otherwise(V.NO_SERIES_ID),
             "SERIES_NAME": F.when(F.col("_known"), F.col("SERIES_NAME")).otherwise(V.NO_SERIES_NAME),
         }
     ).drop("_known")
+    if "COPIES" not in series_by_video.columns:
+        return joined
+    return repeated(joined.withColumn("COPIES", F.coalesce("COPIES", F.lit(1).cast("long"))))
 
 
 def series_copies(resolved: DataFrame) -> DataFrame:
