@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
+from contextlib import suppress
+from functools import cache
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -24,6 +28,11 @@ def local_session(cores: int | str = 8, app: str = "reelmart") -> SparkSession:
     )
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="reelmart-ckpt-")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -32,18 +41,33 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-        configured = tempfile.mkdtemp(prefix="reelmart-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(configured)
+        configured = _local_folder()
     return configured
 
 
+_ROOTS: dict[str, str] = {}
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    """This application's folder below the shared one; it is removed when the driver ends."""
+    app = spark.sparkContext.applicationId
+    if app not in _ROOTS:
+        _ROOTS[app] = f"{checkpoint_dir(spark).rstrip('/')}/reelmart-{uuid.uuid4().hex}"
+        atexit.register(_remove_at_exit, spark, _ROOTS[app])
+    return _ROOTS[app]
+
+
+def _remove_at_exit(spark: SparkSession, path: str) -> None:
+    with suppress(Py4JError, OSError):  # the JVM may be gone; what it left is then for whoever cleans the shared folder
+        remove(spark, path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder, for tables written during one run."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path for tables written during one run, in the shared folder."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def remove(spark: SparkSession, path: str) -> None:

@@ -1,3 +1,7 @@
+import os
+import subprocess
+import sys
+import time
 import uuid
 from dataclasses import replace
 from datetime import date
@@ -126,7 +130,7 @@ def test_missing_table_is_an_error(spark):
 
 def test_checkpoint_folder_is_the_session_setting(spark):
     folder = checkpoint_dir(spark)
-    assert folder == spark.conf.get("spark.checkpoint.dir") and scratch_path(spark, "x").startswith(folder)
+    assert folder == spark.conf.get("spark.checkpoint.dir", folder) and scratch_path(spark, "x").startswith(folder)
     kept, path = materialized(spark.range(3))
     assert kept.count() == 3 and path.startswith(folder)
 
@@ -250,7 +254,7 @@ def test_reprocess_clears_periods_without_rows(spark, inputs):
 def test_a_run_leaves_no_scratch(spark, inputs):
     facts = [fact(20241115, 1), fact(20241220, 2)]
     run = make_run(spark, inputs(basic=facts, combined=facts), "device", "traffic", "region", "monthly_video")
-    folder = Path(checkpoint_dir(spark).removeprefix("file://"))
+    folder = Path(scratch_path(spark, "x").removeprefix("file:")).parent
     run.execute()
     before = set(folder.iterdir())
     run.execute("2024-11-01", True)
@@ -264,3 +268,21 @@ def test_summary_has_a_line_for_each_outcome(spark, inputs):
         "device: loaded, 1 periods (2024-11-01 to 2024-11-30), 1 rows",
         "region: failed, 1 periods (None to None), 0 rows: ValueError: input basic has no REPORTING_DATE",
     ]
+
+
+def test_scratch_goes_with_the_session(tmp_path):
+    """A driver that ends leaves nothing in the shared folder, whatever its queries wrote there."""
+    code = f"""
+from reelmart.session import local_session, materialized
+spark = local_session(1)
+df, path = materialized(spark.range(10))
+assert df.count() == 10 and path.startswith("file://{tmp_path}/")
+"""
+    arguments = f"--conf spark.checkpoint.dir=file://{tmp_path} pyspark-shell"
+    env = os.environ | {"PYSPARK_SUBMIT_ARGS": arguments}
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(__file__).parents[1], env=env)
+    for _ in range(100):  # the JVM ends a little after Python
+        if not (left := list(tmp_path.iterdir())):
+            break
+        time.sleep(0.2)
+    assert left == []
