@@ -281,8 +281,8 @@ assert df.count() == 10 and path.startswith("file://{tmp_path}/")
     arguments = f"--conf spark.checkpoint.dir=file://{tmp_path} pyspark-shell"
     env = os.environ | {"PYSPARK_SUBMIT_ARGS": arguments}
     subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(__file__).parents[1], env=env)
-    for _ in range(100):  # the JVM ends a little after Python
-        if not (left := list(tmp_path.iterdir())):
+    for _ in range(100):
+        if not (left := list(tmp_path.glob("reelmart-*"))):  # Spark makes an empty folder of its own
             break
         time.sleep(0.2)
     assert left == []
