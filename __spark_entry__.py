@@ -153,6 +153,13 @@ def _region_flags(s: Session) -> DataFrame:
     return placed.select("COUNTRY_CODE", "CONTINENT", "SUB_CONTINENT", *B.region_flags(), "VIEWS")
 
 
+def _sample_rule_table(s: Session) -> DataFrame:
+    rows = [(c.ordinal, c.label, list(c.contains), list(c.lacks), c.equals) for c in sample_title_rules()]
+    return s.spark.createDataFrame(
+        rows, "ordinal int, label string, contains array<string>, lacks array<string>, equals string"
+    )
+
+
 def _rule_table(s: Session) -> DataFrame:
     """Rules that are data: every benchmark item is a phrase to look for in every document."""
     rules = s.star.table("benchmark").select(
@@ -287,6 +294,9 @@ _QUERIES: dict[str, Callable[[Session], DataFrame]] = {
     "title_series": lambda s: s.metadata.select(
         "VIDEO_ID", "VIDEO_TITLE", title_series("VIDEO_TITLE", sample_title_rules()).alias("DOMO_SERIES_NAME")
     ),
+    "title_series_joined": lambda s: label_by_rules(
+        s.metadata.select("VIDEO_ID", "VIDEO_TITLE"), "VIDEO_TITLE", _sample_rule_table(s), "DOMO_SERIES_NAME"
+    ),
     "title_series_texts": lambda s: s.star.table("documents").select(
         "doc_id", title_series("text", DOCUMENT_RULES).alias("DOMO_SERIES_NAME")
     ),
