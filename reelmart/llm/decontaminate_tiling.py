@@ -24,7 +24,6 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from reelmart.llm.text import mix, window_hashes
