@@ -7,6 +7,9 @@ grows its own tree and compares exactly what the triangle bounds leave. A shard
 links, never all pairs of a group, and connected components are joined by alternating stars, each step written to
 the shared folder.
 
+``near_duplicates`` answers with fingerprints alone. ``deduplicated`` removes documents, so there fingerprints (of
+distinct shingles) only say which documents to compare; links are decided by the shingles themselves.
+
 Defined cases: a null text counts as empty; a text of no words has fingerprint zero and links like any other; fewer
 words than a shingle are one shingle; rows with a null doc_id are linked too, but name a component only if it has no
 other id (then null); repeated rows each return a row; an empty table gives an empty result; extra columns are left.
@@ -16,15 +19,17 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 from itertools import islice, repeat
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelmart.llm.scratch import written
+from reelmart.llm.text import mix
 
 SEED = 42
 
@@ -65,6 +70,45 @@ def fingerprints(docs: DataFrame, shingle: int = 3, parts: int = 1) -> DataFrame
     return docs.select("doc_id", F.xxhash64("text").alias("digest"), "text").mapInArrow(run, schema)
 
 
+def shingles(text: pa.Scalar, shingle: int) -> np.ndarray:
+    """The hashes of a text's distinct shingles, ascending."""
+    words = (text.as_buffer().to_pybytes() if text.is_valid else b"").lower().split()
+    columns = [islice(words, i, None) for i in range(shingle)]
+    grams = map(b" ".join, zip(*columns, strict=False)) if len(words) >= shingle else iter([b" ".join(words)] if words else [])
+    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, grams, repeat(SEED)), np.uint64))
+
+
+def _set_fingerprint(found: np.ndarray, parts: int) -> list[int]:
+    """``parts`` 64-bit fingerprints of distinct shingles, each counted once."""
+    bits = np.zeros((parts, 64), np.int64)
+    for first in range(0, len(found), 1 << 16):
+        for part in range(parts):
+            hashes = mix(found[first : first + (1 << 16)] + np.uint64(part * 0x9E3779B97F4A7C15 % (1 << 64)))
+            bits[part] += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return np.packbits(bits * 2 > len(found), axis=1, bitorder="little").view(np.int64).ravel().tolist()
+
+
+def set_fingerprints(docs: DataFrame, shingle: int, parts: int) -> DataFrame:
+    """doc_id, digest (of the text), kind (of the set of shingles), size (of the set), fp0 .. fp<parts-1>."""
+    names = [f"fp{i}" for i in range(parts)]
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, digest long, kind long, size long, " + ", ".join(f"{c} long" for c in names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for text in batch.column("text"):
+                own = shingles(text, shingle)
+                kind = np.uint64(xxhash.xxh64_intdigest(own.tobytes(), SEED)).view(np.int64)
+                found.append((int(kind), len(own), *_set_fingerprint(own, parts)))
+            columns = np.array(found, np.int64).reshape(-1, parts + 2).T
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("digest"), *(pa.array(np.ascontiguousarray(c)) for c in columns)],
+                names=["doc_id", "digest", "kind", "size", *names],
+            )
+
+    return docs.select("doc_id", F.xxhash64("text").alias("digest"), "text").mapInArrow(run, schema)
+
+
 def _apart(a: np.ndarray, b) -> np.ndarray:
     return np.bitwise_count(a ^ b)
 
@@ -289,19 +333,115 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 2) -> Dat
     return rows.join(known, "id").select("doc_id", F.lower(F.lpad(F.hex("fp0"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def deduplicated(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, **more) -> DataFrame:
+def alike(sets: list[np.ndarray], similarity: float) -> np.ndarray:
+    """For each set the first of those that links reach; linked are two that share ``similarity`` of all their items.
+
+    A set is compared with those not yet reached only, by the places of its items, so that a group of copies costs
+    one comparison each.
+    """
+    n, sizes = len(sets), np.array([len(x) for x in sets], np.int64)
+    items = np.concatenate(sets) if n else np.zeros(0, np.uint64)
+    order = np.argsort(items, kind="stable")
+    items, owners = items[order], np.repeat(np.arange(n), sizes)[order]
+    first, left, held = np.full(n, -1), n, n
+    for start in range(n):
+        if first[start] >= 0:
+            continue
+        first[start], todo, left = start, [start], left - 1
+        while todo and left:
+            i = todo.pop()
+            if left < 0.5 * held:  # those reached need no comparison
+                kept, held = first[owners] < 0, left
+                items, owners = items[kept], owners[kept]
+            lo, hi = np.searchsorted(items, sets[i], "left"), np.searchsorted(items, sets[i], "right")
+            counts = hi - lo
+            met = owners[np.repeat(lo - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())]
+            js, shared = np.unique(met[first[met] < 0], return_counts=True)
+            js = js[shared / (sizes[i] + sizes[js] - shared) >= similarity]
+            first[js], left = start, left - len(js)
+            todo += js.tolist()
+    return first
+
+
+def verified(docs: DataFrame, kinds: DataFrame, shingle: int, similarity: float, block_shingles: int = 1 << 21) -> DataFrame:
+    """(a, b) of kinds: a spanning forest of all links, by their shingles, between kinds of one root.
+
+    kinds: kind, root, size, least (a row of docs that has it). A root of more than ``block_shingles`` is cut into
+    blocks, so no task holds more than about two of them: each block is compared within itself and with one kind, the
+    leader; then each block of those that don't reach the leader so meets all blocks of its root.
+    """
+    roots = kinds.groupBy("root").agg(F.count("*").alias("kinds"), F.sum("size").alias("total"), F.min("kind").alias("leader")).where("kinds > 1")
+    members = kinds.join(roots, "root").withColumn("blocks", F.ceil(F.col("total") / block_shingles))
+    members = written(members.select("kind", "root", "size", "blocks", "leader", "least.doc_id", "least.digest"), "members")
+    every = members.where("blocks = 1").agg(F.sum("size")).first()[0] or 0
+    d = docs.select("doc_id", F.xxhash64("text").alias("digest"), "text").alias("d")
+    on = F.col("d.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("d.digest") == F.col("m.digest"))
+    columns = ["kind", "root", "size", "blocks", "leader"]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = pa.array([shingles(text, shingle).tobytes() for text in batch.column("text")], pa.binary())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), sets], names=[*columns, "items"])
+
+    sets = d.join(members.alias("m"), on).select(*(f"m.{c}" for c in columns), "d.text")
+    sets = sets.mapInArrow(cut, ", ".join(f"{c} long" for c in columns) + ", items binary").dropDuplicates(["kind"])  # repeated rows
+    sets = written(sets, "shingles")
+
+    def join(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("root", "ascending"), ("first", "descending"), ("kind", "ascending")])
+        root, kind = table.column("root").to_numpy(), table.column("kind").to_numpy()
+        items = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("items")]
+        cuts = [0, *(np.flatnonzero(root[1:] != root[:-1]) + 1).tolist(), len(root)]
+        a, b = [], []
+        for lo, hi in zip(cuts, cuts[1:], strict=False):
+            a.append(kind[lo:hi])
+            b.append(kind[lo:hi][alike(items[lo:hi], similarity)])
+        return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
+
+    def compared(rows: DataFrame, *places: str) -> DataFrame:
+        return rows.groupBy(*places).applyInArrow(join, "a long, b long").where("a <> b")
+
+    def block(of: str, count: str) -> Column:
+        return F.pmod(F.xxhash64("kind", F.lit(of)), F.col(count))
+
+    small = sets.where("blocks = 1").withColumn("first", F.lit(False))
+    small = small.withColumn("place", F.pmod(F.xxhash64("root"), F.lit(every // block_shingles + 1)))
+    large = sets.where("blocks > 1").withColumn("first", F.col("kind") == F.col("leader"))
+    dealt = large.where("not first").withColumn("place", block("all", "blocks"))
+    heads = large.where("first").withColumn("place", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    found = [compared(small, "place"), written(compared(dealt.unionByName(heads), "root", "place"), "met")]
+    apart = large.where("not first").join(found[1].select(F.col("a").alias("kind"), F.col("b").alias("leader")), ["kind", "leader"], "left_anti")
+    apart = apart.join(apart.groupBy("root").agg(F.ceil(F.sum("size") / block_shingles).alias("parts")), "root")
+    apart = written(apart.drop("items"), "apart")
+    if not apart.isEmpty():
+        parts = apart.select("root", "parts").distinct()
+        side = apart.join(sets.select("kind", "items"), "kind").withColumn("part", block("apart", "parts"))
+        side = side.withColumn("place", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        rest = dealt.join(parts, "root").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+        found.append(compared(side.unionByName(rest), "root", "part", "place"))
+    return reduce(DataFrame.union, found)
+
+
+def deduplicated(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, block_shingles: int = 1 << 21, **more) -> DataFrame:
     """One document of each group of near copies, with the columns of ``docs``: the one of the least doc_id, then digest.
 
-    Four fingerprints of 64 bits are compared. The share of differing bits estimates the angle between two texts'
-    shingle counts; texts that share ``similarity`` of all their shingles have a cosine of 2 s / (1 + s). The first
-    fingerprint searches with a margin of a standard deviation, all four decide, and the sizes in words must agree in
-    the same ratio. At this width the triangle bounds prune little: bands of sizes do most of the work.
+    Near copies share ``similarity`` of all their distinct shingles, or are linked by others that do. Four fingerprints
+    of 64 bits say which to compare: the share of differing bits estimates the angle between two sets of shingles,
+    whose cosine is 2 s / (1 + s) at least, and ties in short texts raise it by a quarter at most. The first
+    fingerprint searches and all four together decide, each with a margin of three standard deviations; the numbers of
+    shingles must agree in the same ratio, as those of near copies do. At this width the triangle bounds prune little:
+    bands of sizes do most of the work. What fingerprints bring together is then compared shingle by shingle.
     """
-    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    share = 1.25 * math.acos(2 * similarity / (1 + similarity)) / math.pi
     spread = math.sqrt(share * (1 - share))
-    prints = written(fingerprints(docs, shingle, parts=4), "fingerprints")
-    points, _ = grouped(prints, int(64 * share + 8 * spread), int(256 * share + 16 * spread), similarity, **{"shard_rows": 20_000, **more})
-    keep = points.groupBy("root").agg(F.min("least").alias("least")).select("least.doc_id", "least.digest")
+    prints = written(set_fingerprints(docs, shingle, parts=4), "fingerprints")
+    points, rows = grouped(prints, int(64 * share + 24 * spread), int(256 * share + 48 * spread), similarity, **{"shard_rows": 20_000, **more})
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")).alias("least")
+    kinds = rows.join(points.select("id", "root"), "id").groupBy("kind").agg(F.first("root").alias("root"), F.first("size").alias("size"), least)
+    kinds = written(kinds, "kinds")
+    known = components(verified(docs, kinds, shingle, similarity, block_shingles))
+    known = kinds.join(known.withColumnRenamed("root", "joined"), F.col("kind") == F.col("node"), "left")
+    keep = known.groupBy(F.coalesce("joined", "kind")).agg(F.min("least").alias("least")).select("least.doc_id", "least.digest")
     rows = docs.withColumn("_llm_digest", F.xxhash64("text")).alias("d")
     rows = rows.join(keep.alias("k"), F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("d._llm_digest") == F.col("k.digest")), "left_semi")
     copy = F.row_number().over(Window.partitionBy("doc_id", "_llm_digest").orderBy(F.lit(0)))  # repeated rows

@@ -115,3 +115,15 @@ def test_stages_take_odd_tables(spark, documents, odd_texts):
             out = stage(spark, docs, SMALL)
             assert out.columns[: len(docs.columns)] == docs.columns
             out.count()
+
+
+def test_near_duplicates_by_true_similarity(stages):
+    """Links are shares of 0.8 of distinct 5-word shingles, whatever the fingerprints say."""
+    before, after = stages[1:3]
+    before = sorted(before, key=lambda r: r.doc_id)
+    sets = []
+    for r in before:
+        w = (r.text or "").encode().lower().split()
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))})
+    least = reach(sets, lambda i, j: len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.8)
+    assert {r.doc_id for r in after} == {before[i].doc_id for i in set(least)}

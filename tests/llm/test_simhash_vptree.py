@@ -119,3 +119,46 @@ def test_near_copies_of_large_groups_are_found(documents):
                 text[random_.randrange(500)] = f"n{random_.randrange(9)}"
             table.append((len(table), " ".join(text)))
     assert rows(V.deduplicated(documents(*table)), "doc_id") == sorted([(6 * g,) for g in range(10)], key=str)
+
+
+def similar(a, b, shingle=5):
+    """The share of distinct shingles that two texts have in common."""
+    a, b = ({tuple(w[i : i + shingle]) for i in range(max(1, len(w) - shingle + 1))} for w in (a.split(), b.split()))
+    return len(a & b) / len(a | b)
+
+
+def kept(texts):
+    least = reach(texts, lambda i, j: similar(texts[i], texts[j]) >= 0.8)
+    return sorted([(i,) for i in set(least)], key=str)
+
+
+def test_a_repeated_line_links_no_different_texts(documents):
+    line = " ".join(words(77, 10, 10**6))
+    texts = [" ".join([line] * times + words(1_000 * times + i, own, 10**6)) for times, own in ((20, 400), (10, 100)) for i in range(12)]
+    assert kept(texts) == sorted([(i,) for i in range(24)], key=str)
+    assert rows(V.deduplicated(documents(*enumerate(texts))), "doc_id") == kept(texts)
+
+
+def test_links_are_those_of_true_similarity(documents):
+    """Copies around the threshold, texts and their doublings, short texts; in one block and in many."""
+    random_, texts = random.Random(4), []
+    for group, size in enumerate((9, 30, 120, 120, 400, 400, 400)):
+        base = words(50 + group, size, 10**6)
+        texts += [" ".join(base), " ".join(base + base), " ".join(base[: size - size // 8]), " ".join(base[: size - size // 4])]
+        for edits in range(1, 10):
+            copy = list(base)
+            for _ in range(edits * size // 100 + 1):
+                copy[random_.randrange(size)] = f"n{random_.randrange(10**6)}"
+            texts.append(" ".join(copy))
+    want = kept(texts)
+    assert len(texts) // 5 < len(want) < len(texts) - 20
+    for more in ({}, {"block_shingles": 700}):
+        assert rows(V.deduplicated(documents(*enumerate(texts), (0, texts[0])), **more), "doc_id") == want
+
+
+def test_alike_equals_all_pairs():
+    random_ = np.random.default_rng(6)
+    sets = [np.unique(random_.integers(40 * (i % 3), 40 * (i % 3) + 14, 20).astype(np.uint64)) for i in range(150)] + [np.zeros(0, np.uint64)] * 2
+    pair = lambda i, j: len(np.union1d(sets[i], sets[j])) and len(np.intersect1d(sets[i], sets[j])) / len(np.union1d(sets[i], sets[j])) >= 0.8
+    want, got = reach(sets, pair), V.alike(sets, 0.8).tolist()
+    assert len(set(want)) > 5 and got == want
