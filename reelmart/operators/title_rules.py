@@ -30,7 +30,9 @@ def clauses(rules: DataFrame) -> DataFrame:
     rows = rules.select("ordinal", "label", phrases.alias("contains"), F.coalesce("lacks", F.array().cast("array<string>")).alias("lacks"), "equals")
     size = F.least(F.char_length(phrase), F.lit(ANCHOR))
     rows = rows.withColumn("size", size).withColumn("anchor", F.xxhash64(F.substring(_wide(phrase), F.lit(1), F.col("size") * 4)))
-    return rows.withColumn("clause", F.xxhash64("ordinal", "label", "contains", "lacks", "equals")).dropDuplicates(["clause"])
+    # as JSON, since hashes of arrays and nulls run into each other: [a, b], [] and [a], [b] hash alike
+    whole = F.to_json(F.struct("ordinal", "label", "contains", "lacks", "equals"), {"ignoreNullFields": "false"})
+    return rows.withColumn("clause", F.xxhash64(whole)).dropDuplicates(["ordinal", "label", "contains", "lacks", "equals"])
 
 
 def _runs(text: Column, sizes: list[int]) -> Column:

@@ -5,7 +5,7 @@ from conftest import SMALL, rows
 from pyspark.sql import functions as F
 
 from reelmart.functions.titles import sample_title_rules, title_rules_from, title_series
-from reelmart.operators.title_rules import ANCHOR, label_by_rules
+from reelmart.operators.title_rules import ANCHOR, clauses, label_by_rules
 from reelmart.sources.star_adapter import Star
 
 RULES = "ordinal int, label string, contains array<string>, lacks array<string>, equals string"
@@ -60,3 +60,13 @@ def test_odd_phrases_and_texts(spark):
     assert rows(label_by_rules(texts, "t", rules.limit(0), "label"), "label") == [("other",)] * 8
     with pytest.raises(Exception, match="tests nothing"):
         label_by_rules(texts, "t", spark.createDataFrame([(1, "x", None, ["a"], None)], RULES), "label").collect()
+
+
+def test_alternatives_that_hash_alike_are_all_kept(spark):
+    texts = spark.createDataFrame([(t,) for t in ["a", "b", "ab", "xa", "xb", "ba x", ""]], "t string")
+    alternatives = [[(["a", "b"], None, None), (["a"], ["b"], None), (["a"], None, "b")], [(["b"], None, None), (None, None, "b")], [(["a"], [], None), (["a"], None, None)]]
+    for found in [*alternatives, sum(alternatives, [])]:
+        table = spark.createDataFrame([(1, "first", *c) for c in found] + [(2, "second", ["x"], None, None)], RULES)
+        assert clauses(table).count() == len({(*map(tuple, (has or (), lacks or ())), equals) for has, lacks, equals in found}) + 1
+        chain = texts.select("t", title_series("t", title_rules_from(table)).alias("label"))
+        assert rows(label_by_rules(texts, "t", table, "label"), "*") == rows(chain, "*")
