@@ -229,14 +229,15 @@ def links(
 
     points: id, size, fp0, ... ; distance: bits of fp0; total: bits of all fingerprints together; ratio: least ratio
     of sizes. With a ratio, points are first split into bands of sizes, and visit the next higher band. shard_rows:
-    points of a shard, about, as far as the sample (a bounded number of points that reach the driver) allows.
+    points of a shard, about, as far as the sample allows (the points that reach the driver: a bounded number, and an
+    eighth of all at most, about).
     """
     names = [c for c in points.columns if c.startswith("fp")]
     step = -math.log(ratio) if ratio else 1.0
     band = F.floor(F.log(F.greatest("size", F.lit(0.5))) / step) if ratio else F.lit(0).cast("long")
     points = points.select("id", "size", band.alias("band"), *names)
     counts = points.groupBy("band").count().agg(F.max("count").alias("most"), F.sum("count").alias("all")).first()
-    most, share = counts.most or 0, sample / max(1, counts["all"] or 0)
+    most, share = counts.most or 0, min(sample / max(1, counts["all"] or 0), 1 / 8)
     depth = max(0, min(int(math.log2(sample)) - 5, math.ceil(math.log2(max(1, most) / shard_rows))))
     chance = F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1 << 30)) / (1 << 30)  # about as many points as asked for
     picked = sorted(r.fp0 for r in points.where(chance < share).select("fp0").collect()) if depth else []

@@ -162,3 +162,12 @@ def test_alike_equals_all_pairs():
     pair = lambda i, j: len(np.union1d(sets[i], sets[j])) and len(np.intersect1d(sets[i], sets[j])) / len(np.union1d(sets[i], sets[j])) >= 0.8
     want, got = reach(sets, pair), V.alike(sets, 0.8).tolist()
     assert len(set(want)) > 5 and got == want
+
+
+def test_the_sample_is_a_part_of_the_points(spark, monkeypatch):
+    points = clustered(1_500, 5)
+    table = spark.createDataFrame([(int(p),) for p in points.view(np.int64)], "fp0 long").selectExpr("fp0 id", "0L size", "fp0")
+    sizes, tree = [], V.Tree
+    monkeypatch.setattr(V, "Tree", lambda sample, depth: sizes.append(len(sample)) or tree(sample, depth))
+    V.links(table, 2, shard_rows=40)
+    assert 0 < sizes[0] < len(points) / 4
