@@ -196,16 +196,17 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     follows it. Documents of which no word is taken don't occur.
     """
     key = ["doc_id", "source", "digest"]
-    met = Mix(docs, **options).met().withColumn("pass", F.explode("passes"))
+    mix = Mix(docs, **options)
+    met = mix.met().withColumn("pass", F.explode("passes"))
     parts = met.groupBy(*key, "start", "pass").agg(F.sort_array(F.collect_list(F.struct("first", "words"))).alias("parts"))
-    copies = parts.groupBy(*key, "start").agg(F.sort_array(F.collect_list(F.struct("pass", "parts"))).alias("passes"))
     # equal rows take a stream place each, by their number among equal rows
-    copies = copies.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("start", "passes"))).alias("copies")).alias("c")
-    rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "source", F.xxhash64("text").alias("digest"), "text").alias("d")
-    on = reduce(lambda a, b: a & b, (F.col(f"d.{c}").eqNullSafe(F.col(f"c.{c}")) for c in key))
-    number = F.row_number().over(Window.partitionBy("d.doc_id", "d.source", "d.digest").orderBy(F.lit(0)))
-    rows = rows.join(copies, on).select("row", "d.text", "copies", number.alias("number"))
-    rows = rows.select("row", "text", F.explode(F.expr("get(copies, number - 1).passes.parts")).alias("parts"))
+    places = mix.pieces().where("first = 0").select(*key, "start")
+    places = places.withColumn("number", F.row_number().over(Window.partitionBy(*key).orderBy("start"))).alias("p")
+    same = lambda a, b, columns: reduce(lambda x, y: x & y, (F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in columns))
+    taken = places.join(parts.alias("t"), same("p", "t", [*key, "start"])).select("p.*", "t.parts").alias("c")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "source", F.xxhash64("text").alias("digest"), "text")
+    rows = rows.withColumn("number", F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(0)))).alias("d")
+    rows = rows.join(taken, same("d", "c", [*key, "number"])).select("row", "text", "parts")
     rows = rows.withColumn("found", F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1)))
     pieces = F.transform("parts", lambda p: F.array_join(F.slice("found", (p["first"] + 1).cast("int"), p["words"].cast("int")), " "))
     taken = F.aggregate("parts", F.lit(0).cast("long"), lambda n, p: n + p["words"])

@@ -85,3 +85,15 @@ def test_empty(documents):
     assert M.Mix(documents()).taken().collect() == []
     assert M.mixed_documents(documents()).collect() == []
     assert rows(M.Mix(documents((1, None), (2, ""))).taken(), "doc_id", "taken", "target") == sorted([(1, 0, 0.0), (2, 0, 0.0)], key=str)
+
+
+def test_equal_rows_are_not_collected(documents):
+    mine = documents(*[(1, "a b c d e", None, "s")] * 60, *[(None, "f g h", None, None)] * 9, (2, "i j", None, "s"))
+    mixed = M.mixed_documents(mine, block_words=4)
+    assert "copies" not in mixed._jdf.queryExecution().optimizedPlan().toString()
+    want, have = collections.Counter(), collections.Counter()
+    for r in M.Mix(mine, block_words=4).taken().collect():
+        want[r.doc_id] += r.taken
+    for r in mixed.collect():
+        have[r.doc_id] += len(r.text.split())
+    assert have == want
