@@ -8,7 +8,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelmart.llm import chat_parts, decontaminate_tiling, language_svm, mixing, quality_knn, scratch, sharding_bfd, simhash_vptree, substring_anchors, token_files, winnowing
+from reelmart.llm import (
+    chat_parts,
+    decontaminate_tiling,
+    language_svm,
+    mixing,
+    quality_knn,
+    ranked_search,
+    scratch,
+    sharding_bfd,
+    simhash_vptree,
+    substring_anchors,
+    suffix_dedup,
+    token_files,
+    whitening,
+    winnowing,
+)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -80,6 +95,22 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding_bfd.shard_sizes(_table(spark, folder, "documents"))
 
 
+def op11_suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents without the bytes of 50-byte strings that also start in a document with a smaller doc_id."""
+    kept = suffix_dedup.without_repeats(_table(spark, folder, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op12_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The 10 best of all documents for each item of the benchmark."""
+    return ranked_search.search(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """All whole vectors, whitened to 32 components."""
+    return whitening.whitened(_table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_decontamination": op2_decontamination,
@@ -91,8 +122,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substrings": op8_substrings,
     "op9_simhash": op9_simhash,
     "op10_sharding": op10_sharding,
+    "op11_suffixes": op11_suffixes,
+    "op12_search": op12_search,
+    "op13_whitening": op13_whitening,
 }
 
+_TERMS = r"""list_filter(regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda t: t <> '')"""
 _ESCAPED = rf"""regexp_replace({{}}, '{chat_parts._ESCAPE}', '\1\\\2\3', 'g')"""
 _FRAME = len(chat_parts.START) + len(chat_parts.SEPARATOR) + len(chat_parts.END)
 
@@ -128,4 +163,22 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, COUNT(i) AS n_words, COUNT(*) FILTER (WHERE gone) AS n_removed,
                sha256(COALESCE(string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
         FROM documents LEFT JOIN marked USING (doc_id) GROUP BY doc_id""",
+    "op12_search": f"""
+        WITH places AS (SELECT rowid AS place, doc_id, unnest(terms) AS term FROM
+            (SELECT row_number() OVER () AS rowid, doc_id, {_TERMS} AS terms FROM documents)),
+        lengths AS (SELECT place, COUNT(*) AS n FROM places GROUP BY place),
+        size AS (SELECT COUNT(*) AS documents, CAST(SUM(n) AS BIGINT) AS terms FROM lengths),
+        found AS (SELECT place, doc_id, term, COUNT(*) AS tf FROM places GROUP BY ALL),
+        weights AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * documents + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+            FROM (SELECT term, COUNT(*) AS df FROM found GROUP BY term), size),
+        wanted AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+        scores AS (
+            SELECT item_id, place, doc_id,
+                   CAST(SUM(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * documents) // terms)))) AS BIGINT) AS score
+            FROM wanted JOIN weights USING (term) JOIN found USING (term) JOIN lengths USING (place), size
+            GROUP BY item_id, place, doc_id),
+        ranked AS (
+            SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS FIRST) AS rank
+            FROM scores WHERE score > 0)
+        SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10""",
 }

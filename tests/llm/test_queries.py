@@ -16,6 +16,9 @@ COLUMNS = {
     "op8_substrings": ["doc_id", "n_words", "n_removed", "kept_sha256"],
     "op9_simhash": ["doc_id", "fingerprint", "component_id"],
     "op10_sharding": ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"],
+    "op11_suffixes": ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
+    "op12_search": ["item_id", "rank", "doc_id", "score"],
+    "op13_whitening": ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"],
 }
 
 
@@ -31,6 +34,10 @@ def test_columns_and_rows(spark, name):
     rows = got.count()
     if name == "op6_chat":
         assert rows == 1 + spark.read.parquet(f"{SMALL}/conversations.parquet").select("conv_id").distinct().count()
+    elif name == "op12_search":
+        assert rows == 10 * spark.read.parquet(f"{SMALL}/benchmark.parquet").count()
+    elif name == "op13_whitening":
+        assert rows == 32 * spark.read.parquet(f"{SMALL}/embeddings.parquet").count()
     elif name != "op2_decontamination":
         assert rows == spark.read.parquet(f"{SMALL}/documents.parquet").count()
 
