@@ -41,8 +41,7 @@ _P, _SHIFT = _U(_PRIME), _U(31)
 #: Bases of the polynomial hashes, tried one after another.
 _BASES = (1_103_515_245, 1_812_433_253 % _PRIME, 69_069, 1_664_525)
 
-#: A key is hot if more chunks than this have it, or more documents of one chunk.
-_HOT_CHUNKS, _HOT_DOCUMENTS = 32, 64
+_ENTRY = np.dtype([("key", "<u4"), ("documents", "<u2")])
 #: Window starts that are hashed at a time, so that memory doesn't grow with a text's length.
 _PIECE = 1 << 20
 _ANCHORS, _WINDOWS, _COPIES = 0, 1, 2
@@ -220,7 +219,7 @@ class Chunk:
         return (bucket << _U(32)) | (key & _U(0xFFFFFFFF))
 
     def anchors(self) -> tuple[np.ndarray, np.ndarray]:
-        """The distinct keys, sorted; for each 0, or 1 if several documents have it, or 2 if many do."""
+        """The distinct keys, sorted, and how many documents have each."""
         rank = self.rank[self.row] - (self.number << 40)
         order = np.lexsort((rank, self.key))
         key, rank = self.key[order], rank[order]
@@ -228,7 +227,7 @@ class Chunk:
         documents = new | np.append(True, rank[1:] != rank[:-1])[: len(key)]
         first = np.flatnonzero(new)
         n = np.add.reduceat(documents.astype(np.int64), first) if len(first) else first
-        return key[first], ((n > 1).astype(np.uint8) + (n > _HOT_DOCUMENTS)).astype(np.uint8)
+        return key[first], n
 
     def strings(self, bits: dict[int, bytes]) -> Strings:
         keys, _ = self.anchors()
@@ -292,15 +291,14 @@ def _answer(kind: int, table: pa.Table, bits: list[bytes]) -> pa.Table:
     return pa.table({"chunk": table.column("chunk"), "kind": pa.array([kind] * n, pa.int32()), "bucket": table.column("bucket"), "bits": pa.array(bits, pa.binary())})
 
 
-def _shared(table: pa.Table) -> pa.Table:
+def _shared(table: pa.Table, most: int) -> pa.Table:
     """For each key of each chunk of a bucket: whether several documents have it, and whether it is hot."""
-    entries = [np.frombuffer(x.as_buffer(), [("a", "<u4"), ("f", "u1")]) for x in table.column("entries")]
+    entries = [np.frombuffer(x.as_buffer(), _ENTRY) for x in table.column("entries")]
     ends = np.cumsum([len(e) for e in entries])
-    key, flag = (np.concatenate([e[f] for e in entries]) for f in ("a", "f"))
-    _, which, chunks = np.unique(key, return_inverse=True, return_counts=True)
-    most = np.zeros(len(chunks), np.uint8)
-    np.maximum.at(most, which, flag)
-    shared, hot = ((chunks > 1) | (most > 0))[which], ((chunks > _HOT_CHUNKS) | (most > 1))[which]
+    every = np.concatenate(entries)
+    _, which = np.unique(every["key"], return_inverse=True)
+    documents = np.bincount(which, weights=every["documents"])[which]  # chunks have no document in common
+    shared, hot = documents > 1, documents > most
     return _answer(_ANCHORS, table, [np.packbits(shared[e - len(x) : e]).tobytes() + np.packbits(hot[e - len(x) : e]).tobytes() for x, e in zip(entries, ends, strict=True)])
 
 
@@ -351,11 +349,12 @@ def _known(answers: pa.Table) -> tuple[set[bytes], dict[int, bytes], dict[int, b
     return set(out[_COPIES]), out[_ANCHORS], out[_WINDOWS]
 
 
-def without_repeats(docs: DataFrame, window: int = 50, gram: int = 24, chunk_bytes: int = 8 << 20, bucket_bytes: int = 8 << 20) -> DataFrame:
+def without_repeats(docs: DataFrame, window: int = 50, gram: int = 24, chunk_bytes: int = 8 << 20, bucket_bytes: int = 2 << 20, hot: int = 1 << 14) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept: the bytes that stay, as binary.
 
     chunk_bytes, bucket_bytes: about how much text a chunk holds, and for how much text there is a bucket of keys; what
-    tasks hold at a time follows from them, not from the table.
+    tasks hold at a time follows from them, not from the table. hot: a key that more documents have is dealt out once
+    more, so what one sort holds is bounded by the strings of so many.
     """
     if not 8 <= gram <= window:
         raise ValueError("8 <= gram <= window")
@@ -379,9 +378,9 @@ def without_repeats(docs: DataFrame, window: int = 50, gram: int = 24, chunk_byt
 
     def anchors(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
         chunk = of(key, table, _known(answers)[0])
-        keys, flags = chunk.anchors()
-        entries = np.zeros(len(keys), [("a", "<u4"), ("f", "u1")])
-        entries["a"], entries["f"] = keys & _U(0xFFFFFFFF), flags
+        keys, documents = chunk.anchors()
+        entries = np.zeros(len(keys), _ENTRY)
+        entries["key"], entries["documents"] = keys & _U(0xFFFFFFFF), np.minimum(documents, 65535)
         cut, ends = _cut(keys)
         blobs = [entries[a:b].tobytes() for a, b in ends]
         return pa.table({"bucket": pa.array(cut), "chunk": pa.array(np.full(len(cut), chunk.number, np.int64)), "entries": pa.array(blobs, pa.binary())})
@@ -415,7 +414,7 @@ def without_repeats(docs: DataFrame, window: int = 50, gram: int = 24, chunk_byt
         return pa.table({"doc_id": chunk.ids, **dict(zip(("n_bytes", "n_removed", "n_spans"), counts, strict=True)), "kept": left.cast(pa.binary())})
 
     sent = "bucket long, chunk long, entries binary"
-    keys = by_chunk.cogroup(copies.groupBy("chunk")).applyInArrow(anchors, sent).groupBy("bucket").applyInArrow(_shared, answer)
+    keys = by_chunk.cogroup(copies.groupBy("chunk")).applyInArrow(anchors, sent).groupBy("bucket").applyInArrow(lambda t: _shared(t, hot), answer)
     known = copies.union(written(keys, "keys"))
     sent = "bucket long, chunk long, ids binary, lengths binary, ranks binary, texts binary"
     found = by_chunk.cogroup(known.groupBy("chunk")).applyInArrow(strings, sent).groupBy("bucket").applyInArrow(lambda t: _earlier(t, window), answer)
