@@ -9,8 +9,9 @@ hashes never decide a result.
 Only suffixes that can repeat are sorted, and only beside those they can equal. The key of a window is the least hash of
 its grams; consecutive windows with one key form a run, sent as one string. A chunk of documents sends each key once
 (a few bits come back: whether other documents have it), then the distinct strings of shared keys. All equal windows
-have one key, so each key is a sort of its own. Keys that many documents have (a passage that a third of them share) are
-dealt out once more, every window by its own hash, so no group grows with the table: a chunk sends equal strings once.
+have one key, so each key is a sort of its own, and so is each place of the key's gram within the window. Keys of many
+different strings (the ends of a passage that a third of the documents share) are dealt out once more, every window by
+its own hash, so no group grows with the table: a chunk sends equal strings once.
 Texts that equal an earlier text as a whole are settled by their SHA-256 and not sorted at all.
 
 Documents are dealt to chunks by ranges of doc_id and written once, bucketed by chunk, in the shared folder; later passes
@@ -41,7 +42,9 @@ _P, _SHIFT = _U(_PRIME), _U(31)
 #: Bases of the polynomial hashes, tried one after another.
 _BASES = (1_103_515_245, 1_812_433_253 % _PRIME, 69_069, 1_664_525)
 
-_ENTRY = np.dtype([("key", "<u4"), ("documents", "<u2")])
+#: Of a key in a chunk: how many different strings have it, up to a bound, and whether several documents do.
+_ENTRY = np.dtype([("key", "<u4"), ("strings", "<u2")])
+_SEVERAL = 1 << 15
 #: Window starts that are hashed at a time, so that memory doesn't grow with a text's length.
 _PIECE = 1 << 20
 _ANCHORS, _WINDOWS, _COPIES = 0, 1, 2
@@ -218,19 +221,24 @@ class Chunk:
         bucket = ((key >> _U(32)) * _U(self.buckets)) >> _U(32)
         return (bucket << _U(32)) | (key & _U(0xFFFFFFFF))
 
-    def anchors(self) -> tuple[np.ndarray, np.ndarray]:
-        """The distinct keys, sorted, and how many documents have each."""
-        rank = self.rank[self.row] - (self.number << 40)
-        order = np.lexsort((rank, self.key))
-        key, rank = self.key[order], rank[order]
+    def anchors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The distinct keys, sorted; how many different strings have each, told apart by their ends and lengths; and
+        whether several documents have it."""
+        last = self.start + self.count + self.window - 9
+        wide = np.ndarray(max(len(self.data) - 7, 0), "<u8", np.ascontiguousarray(self.data), strides=(1,))
+        ends = mix(wide[self.start] + self.count.astype(_U)) ^ wide[last]
+        order = np.lexsort((ends, self.key))
+        key, ends, rank = self.key[order], ends[order], self.rank[self.row[order]]
         new = np.append(True, key[1:] != key[:-1])[: len(key)]
-        documents = new | np.append(True, rank[1:] != rank[:-1])[: len(key)]
+        strings = new | np.append(True, ends[1:] != ends[:-1])[: len(key)]
         first = np.flatnonzero(new)
-        n = np.add.reduceat(documents.astype(np.int64), first) if len(first) else first
-        return key[first], n
+        if not len(first):
+            return key, first, np.zeros(0, bool)
+        several = np.minimum.reduceat(rank, first) < np.maximum.reduceat(rank, first)
+        return key[first], np.add.reduceat(strings.astype(np.int64), first), several
 
     def strings(self, bits: dict[int, bytes]) -> Strings:
-        keys, _ = self.anchors()
+        keys = np.unique(self.key)
         buckets, sizes = np.unique(keys >> _U(32), return_counts=True)
         both = [np.unpackbits(np.frombuffer(bits[int(b)], np.uint8)).reshape(2, -1)[:, :n] for b, n in zip(buckets, sizes, strict=True)]
         shared, hot = np.concatenate(both, axis=1).astype(bool) if both else np.zeros((2, 0), bool)
@@ -296,9 +304,10 @@ def _shared(table: pa.Table, most: int) -> pa.Table:
     entries = [np.frombuffer(x.as_buffer(), _ENTRY) for x in table.column("entries")]
     ends = np.cumsum([len(e) for e in entries])
     every = np.concatenate(entries)
-    _, which = np.unique(every["key"], return_inverse=True)
-    documents = np.bincount(which, weights=every["documents"])[which]  # chunks have no document in common
-    shared, hot = documents > 1, documents > most
+    _, which, chunks = np.unique(every["key"], return_inverse=True, return_counts=True)
+    strings = np.bincount(which, weights=every["strings"] & (_SEVERAL - 1))[which]
+    shared = (chunks[which] > 1) | (every["strings"] >= _SEVERAL)
+    hot = strings > most
     return _answer(_ANCHORS, table, [np.packbits(shared[e - len(x) : e]).tobytes() + np.packbits(hot[e - len(x) : e]).tobytes() for x, e in zip(entries, ends, strict=True)])
 
 
@@ -311,7 +320,18 @@ def _batches(many: np.ndarray, group: np.ndarray, windows: np.ndarray) -> Iterat
         many = many[last:]
 
 
-def _earlier(table: pa.Table, window: int) -> pa.Table:
+def _places(text: np.ndarray, at: np.ndarray, window: int, gram: int) -> np.ndarray:
+    """Where in each window its gram of the least hash is, the first of equals: the same for equal windows."""
+    bits, reach, wide = _U(len(text).bit_length()), 1, window - gram + 1
+    grams = window_hashes(text, np.arange(len(text) - gram + 1), gram)
+    least = (grams >> bits << bits) | np.arange(len(grams), dtype=_U)
+    while reach * 2 <= wide:
+        least, reach = np.minimum(least[: len(least) - reach], least[reach:]), reach * 2
+    found = np.minimum(least[at], least[at + wide - reach])
+    return (found & ((_U(1) << bits) - _U(1))).astype(np.int64) - at
+
+
+def _earlier(table: pa.Table, window: int, gram: int) -> pa.Table:
     """For each window of each chunk's strings: whether it also starts in a document with a smaller doc_id."""
     column = lambda name, kind: np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in table.column(name)])
     ids, lengths, ranks = column("ids", "<u4"), column("lengths", "<u4").astype(np.int64), column("ranks", "<i8")
@@ -330,8 +350,11 @@ def _earlier(table: pa.Table, window: int) -> pa.Table:
     for some in _batches(np.flatnonzero(~alone), group, windows):
         text = data[_spread(starts[own[some]], lengths[own[some]])]
         first = np.append(0, np.cumsum(lengths[own[some]])[:-1])
-        by, same = suffix_sort(text, _spread(first, windows[some]), np.repeat(group[some], windows[some]), window)
-        begins = np.flatnonzero(~same)
+        suffixes = _spread(first, windows[some])
+        alike = np.repeat(group[some].astype(np.int64), windows[some]) * window + _places(text, suffixes, window, gram)
+        by = np.argsort(alike, kind="stable")
+        order, same = suffix_sort(text, suffixes[by], alike[by], window)
+        by, begins = by[order], np.flatnonzero(~same)
         lowest = np.minimum.reduceat(np.repeat(least[some], windows[some])[by], begins)
         low[_spread(offset[some], windows[some])[by]] = np.repeat(lowest, np.diff(np.append(begins, len(by))))
     flags = low[_spread(offset[which], counts)] < np.repeat(ranks, counts)
@@ -349,12 +372,12 @@ def _known(answers: pa.Table) -> tuple[set[bytes], dict[int, bytes], dict[int, b
     return set(out[_COPIES]), out[_ANCHORS], out[_WINDOWS]
 
 
-def without_repeats(docs: DataFrame, window: int = 50, gram: int = 24, chunk_bytes: int = 8 << 20, bucket_bytes: int = 2 << 20, hot: int = 1 << 14) -> DataFrame:
+def without_repeats(docs: DataFrame, window: int = 50, gram: int = 24, chunk_bytes: int = 8 << 20, bucket_bytes: int = 2 << 20, hot: int = 1 << 10) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept: the bytes that stay, as binary.
 
     chunk_bytes, bucket_bytes: about how much text a chunk holds, and for how much text there is a bucket of keys; what
-    tasks hold at a time follows from them, not from the table. hot: a key that more documents have is dealt out once
-    more, so what one sort holds is bounded by the strings of so many.
+    tasks hold at a time follows from them, not from the table. hot: a key of more different strings is dealt out once
+    more, by windows, so what one sort holds is bounded.
     """
     if not 8 <= gram <= window:
         raise ValueError("8 <= gram <= window")
@@ -378,9 +401,9 @@ def without_repeats(docs: DataFrame, window: int = 50, gram: int = 24, chunk_byt
 
     def anchors(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
         chunk = of(key, table, _known(answers)[0])
-        keys, documents = chunk.anchors()
+        keys, different, several = chunk.anchors()
         entries = np.zeros(len(keys), _ENTRY)
-        entries["key"], entries["documents"] = keys & _U(0xFFFFFFFF), np.minimum(documents, 65535)
+        entries["key"], entries["strings"] = keys & _U(0xFFFFFFFF), np.minimum(different, _SEVERAL - 1) + several * _SEVERAL
         cut, ends = _cut(keys)
         blobs = [entries[a:b].tobytes() for a, b in ends]
         return pa.table({"bucket": pa.array(cut), "chunk": pa.array(np.full(len(cut), chunk.number, np.int64)), "entries": pa.array(blobs, pa.binary())})
@@ -417,6 +440,6 @@ def without_repeats(docs: DataFrame, window: int = 50, gram: int = 24, chunk_byt
     keys = by_chunk.cogroup(copies.groupBy("chunk")).applyInArrow(anchors, sent).groupBy("bucket").applyInArrow(lambda t: _shared(t, hot), answer)
     known = copies.union(written(keys, "keys"))
     sent = "bucket long, chunk long, ids binary, lengths binary, ranks binary, texts binary"
-    found = by_chunk.cogroup(known.groupBy("chunk")).applyInArrow(strings, sent).groupBy("bucket").applyInArrow(lambda t: _earlier(t, window), answer)
+    found = by_chunk.cogroup(known.groupBy("chunk")).applyInArrow(strings, sent).groupBy("bucket").applyInArrow(lambda t: _earlier(t, window, gram), answer)
     result = f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary"
     return by_chunk.cogroup(known.union(found).groupBy("chunk")).applyInArrow(kept, result)
