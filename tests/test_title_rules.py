@@ -5,7 +5,8 @@ from conftest import SMALL, rows
 from pyspark.sql import functions as F
 
 from reelmart.functions.titles import sample_title_rules, title_rules_from, title_series
-from reelmart.operators.title_rules import ANCHOR, clauses, label_by_rules
+from reelmart.operators import title_rules
+from reelmart.operators.title_rules import ANCHOR, anchored, bloom, clauses, clauses_met, label_by_rules, phrase_runs
 from reelmart.sources.star_adapter import Star
 
 RULES = "ordinal int, label string, contains array<string>, lacks array<string>, equals string"
@@ -70,3 +71,57 @@ def test_alternatives_that_hash_alike_are_all_kept(spark):
         assert clauses(table).count() == len({(*map(tuple, (has or (), lacks or ())), equals) for has, lacks, equals in found}) + 1
         chain = texts.select("t", title_series("t", title_rules_from(table)).alias("label"))
         assert rows(label_by_rules(texts, "t", table, "label"), "*") == rows(chain, "*")
+
+
+def test_anchors_are_the_rarest_runs(spark, monkeypatch):
+    """Of a clause's runs the one that the fewest texts have."""
+    monkeypatch.setattr(title_rules, "SHARE", 1)
+    texts = spark.createDataFrame([("a long common beginning, and one",), ("a long common beginning, and two",), ("A LONG COMMON BEGINNING, none",)], "t string")
+    found = [(1, "x", ["a long common beginning, and one"], None, None), (2, "y", ["a long common beginning"], None, None), (3, "z", ["a long common beginning, and three"], None, None), (4, "short", ["two"], ["one"], None)]
+    table = clauses(spark.createDataFrame(found, RULES))
+    got = anchored(texts, "t", table).join(table, "clause")
+    assert rows(got, "label", "texts") == [("short", 1), ("x", 1), ("y", 3), ("z", 0)]
+
+
+def test_a_thousand_rules_that_begin_alike_stay_linear(spark):
+    """The pairs of texts and clauses that are tested don't grow with texts times rules."""
+    prefix = "episode of the series with a name that all of them have, number "
+    rules = spark.createDataFrame([(i, f"rule {i}", [f"{prefix}{i:04} of"], None, None) for i in range(1000)], RULES)
+    texts = spark.createDataFrame([(f"{prefix.upper()}{i % 1200:04} of a season, {i}",) for i in range(2000)], "t string")
+    table = clauses(rules)
+    anchors = anchored(texts, "t", table)
+    distinct = texts.select(F.md5("t").alias("_digest"), F.lower("t").alias("_text"))
+    assert anchors.count() == 1000
+    assert clauses_met(distinct, anchors).count() <= 20 * 2000
+    chain = texts.select("t", F.concat(F.lit("rule "), F.substring("t", len(prefix) + 1, 4).cast("int").cast("string")).alias("label"))
+    want = chain.withColumn("label", F.when(F.substring("t", len(prefix) + 1, 4).cast("int") < 1000, F.col("label")).otherwise("other"))
+    assert rows(label_by_rules(texts, "t", rules, "label"), "*") == rows(want, "*")
+
+
+def test_bloom_filter(spark, monkeypatch):
+    """Everything in it passes, few others do; at its bound more pass, and labels stay right."""
+    runs = spark.range(5000).select(F.xxhash64("id").alias("run"))
+    others = spark.range(5000, 105_000).select(F.xxhash64("id").alias("run"))
+    test = bloom(runs, 5000)
+    assert runs.where(test(F.col("run"))).count() == 5000 and others.where(test(F.col("run"))).count() < 8000
+    monkeypatch.setattr(title_rules, "MOST_BITS", 1 << 10)
+    full = bloom(runs, 5000)
+    assert runs.where(full(F.col("run"))).count() == 5000 and others.where(full(F.col("run"))).count() > 90_000
+    texts = spark.createDataFrame([(f"title {i} of many",) for i in range(300)], "t string")
+    rules = spark.createDataFrame([(i, f"r{i}", [f"title {i} "], None, None) for i in range(250)], RULES)
+    chain = texts.select("t", title_series("t", title_rules_from(rules)).alias("label"))
+    assert rows(label_by_rules(texts, "t", rules, "label"), "*") == rows(chain, "*")
+
+
+def test_runs_are_dropped_before_they_become_rows(spark, titles):
+    """The filter is inside the generator's array, below the explode, and the plan has no Python and no cross join."""
+    table = clauses(table_of(spark))
+    anchors = anchored(titles, "title", table)
+    distinct = titles.select(F.md5("title").alias("_digest"), F.lower("title").alias("_text"))
+    plan = clauses_met(distinct, anchors)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate explode(flatten(array(array_distinct(filter(" in plan and "Cartesian" not in plan and "Python" not in plan
+    assert phrase_runs(table).where("size > 8").count() == 0
+
+
+def table_of(spark):
+    return table(spark, sample_title_rules())
