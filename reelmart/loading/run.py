@@ -96,7 +96,8 @@ class Run:
         """The periods that need no loading: those with rows, and those once loaded without any."""
         logged = self.spark.table(self.audit_table)
         empty = logged.where((F.col("OUTPUT") == output.name) & (F.col("STATUS") == LOADED) & (F.col("ROWS") == 0))
-        return self.spark.table(table).select(output.period).union(empty.select("PERIOD_END"))
+        present = [(day,) for day in periods_of(self.spark, output, table)]
+        return self.spark.createDataFrame(present, f"{output.period} date").union(empty.select("PERIOD_END"))
 
     def _pending(self, output: Output, table: str) -> DataFrame:
         source, loaded = self._source(output), self._present(output, table)
@@ -129,13 +130,14 @@ class Run:
         if not days:
             self._record(output, None, None, NOTHING_NEW, 0, None)
             return {}
-        rows = replace_periods(output.build(self.dims, P.as_periods(days)), output, table)
+        rows = output.build(self.dims, P.as_periods(days))
+        written = replace_periods(rows, output, table, [] if output.daily else [end for _, end in days])
         if output.daily:
-            self._record(output, days[0][0], days[-1][1], LOADED, sum(rows.values()), None)
+            self._record(output, days[0][0], days[-1][1], LOADED, written.rows, None)
         else:
             for start, end in days:
-                self._record(output, start, end, LOADED, rows.get(end, 0), None)
-        return rows
+                self._record(output, start, end, LOADED, written.by_period.get(end, 0), None)
+        return written.by_period
 
     def _record(self, output: Output, start: date | None, end: date | None, status: str, rows, message) -> None:
         now = datetime.now(timezone.utc)

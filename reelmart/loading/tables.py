@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
+from dataclasses import dataclass
 from datetime import date
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,6 +17,18 @@ from reelmart.schemas import OUTPUT_DDL, output_schema
 from reelmart.session import remove
 
 
+#: How a catalog names the partition of a null period.
+NO_PERIOD = "__HIVE_DEFAULT_PARTITION__"
+
+
+@dataclass(frozen=True)
+class Written:
+    """What a write has counted: all rows, and those of the periods asked for that have any."""
+
+    rows: int
+    by_period: dict[date, int]
+
+
 def create_output(spark: SparkSession, output: Output, table: str, location: str | None = None) -> None:
     """Create the table if it is absent."""
     where = f"LOCATION '{location}'" if location else ""
@@ -78,28 +92,30 @@ def append(df: DataFrame, output: Output, table: str) -> None:
         _in_table_order(spark, df, output, table).write.insertInto(table)
 
 
-def _files(spark: SparkSession, output: Output, table: str) -> dict[date, tuple[int, set[str]]]:
-    """Rows and files of each period: one row per period reaches the driver."""
-    rows = spark.table(table).select(output.period, F.col("_metadata.file_path").alias("file"))
-    found = rows.groupBy(output.period).agg(F.count(F.lit(1)), F.collect_set("file")).collect()
-    return {day: (n, set(files)) for day, n, files in found}
-
-
-def replace_periods(df: DataFrame, output: Output, table: str) -> dict[date, int]:
+def replace_periods(df: DataFrame, output: Output, table: str, periods: Iterable[date] = ()) -> Written:
     """Write whole periods; the ones present in ``df`` replace what the table had for them.
 
-    Running the same load twice leaves the same rows. Returns how many rows were written for each period.
+    Running the same load twice leaves the same rows. The write itself counts its rows, all of them and those of each of
+    ``periods``; nothing that the table already holds is read, listed or compared.
     """
     spark = df.sparkSession
     require_output(spark, table)
-    before = {file for _, files in _files(spark, output, table).values() for file in files}
+    days = sorted(set(periods))
+    counts = [F.count_if(F.col(output.period) == F.lit(day)).alias(f"p{i}") for i, day in enumerate(days)]
+    # behind the exchange, in the tasks that write: there a task that runs again is counted once
+    observed = Observation()
+    rows = _in_table_order(spark, df, output, table).observe(observed, F.count(F.lit(1)).alias("all"), *counts)
     with _write_settings(spark, "dynamic"):
-        _in_table_order(spark, df, output, table).write.insertInto(table, overwrite=True)
-    return {day: n for day, (n, files) in _files(spark, output, table).items() if not files & before}
+        rows.write.insertInto(table, overwrite=True)
+    found = observed.get
+    return Written(found["all"], {day: n for i, day in enumerate(days) if (n := found[f"p{i}"])})
 
 
 def periods_of(spark: SparkSession, output: Output, table: str) -> list[date]:
-    return sorted(day for (day,) in spark.table(table).select(output.period).distinct().collect())
+    """The periods that the table has, from the catalog: no file is opened."""
+    listed = spark.sql(f"SHOW PARTITIONS {table}").collect()  # a row for each period
+    days = (unquote(row.partition).removeprefix(f"{output.period}=") for row in listed)
+    return sorted(date.fromisoformat(day) for day in days if day != NO_PERIOD)
 
 
 def drop_periods(spark: SparkSession, output: Output, table: str, days: list[date]) -> None:

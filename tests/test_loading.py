@@ -16,7 +16,7 @@ from reelmart.functions.titles import sample_title_rules
 from reelmart.job import run_job, summary
 from reelmart.loading import periods as P
 from reelmart.loading.run import Run
-from reelmart.loading.tables import append, clear_periods, conformed, create_output, replace_periods
+from reelmart.loading.tables import append, clear_periods, conformed, create_output, periods_of, replace_periods
 from reelmart.plans.registry import OUTPUTS
 from reelmart.schemas import OUTPUT_DDL, output_schema
 from reelmart.session import checkpoint_dir, materialized, scratch_path
@@ -118,6 +118,39 @@ def test_writes_bind_by_name_and_replace_whole_periods(spark):
     assert clear_periods(spark, DEVICE, table, feb) == []
 
 
+def jobs_of(spark, work):
+    """The number of Spark jobs that some work starts."""
+    group = uuid.uuid4().hex
+    spark.sparkContext.setJobGroup(group, group)
+    work()
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_a_write_counts_its_own_rows(spark):
+    """All rows and those of the periods asked for; absent ones are left out; an empty write counts none."""
+    table, (jan, feb, mar) = new_table(spark), map(date.fromisoformat, ("2025-01-31", "2025-02-28", "2025-03-31"))
+    rows_ = device_rows(spark, *[("2025-01-31", i) for i in range(40)], ("2025-03-31", 1)).repartition(3)
+    done = replace_periods(rows_, DEVICE, table, [mar, jan, feb])
+    assert (done.rows, done.by_period) == (41, {jan: 40, mar: 1})
+    done = replace_periods(rows_.where("VIEWS < 0"), DEVICE, table, [jan])
+    assert (done.rows, done.by_period) == (0, {}) and spark.table(table).count() == 41
+    assert replace_periods(rows_, DEVICE, table).by_period == {} and periods_of(spark, DEVICE, table) == [jan, mar]
+
+
+def test_a_load_does_not_touch_other_periods(spark):
+    """The periods that a table has don't add jobs to a write, and none of their files is read: they may be broken."""
+    counts, tables = [], [new_table(spark), new_table(spark)]
+    replace_periods(device_rows(spark, *[(f"2024-{m:02}-28", m) for m in range(1, 13)]), DEVICE, tables[1])
+    files = [Path(f.removeprefix("file:")) for f in spark.table(tables[1]).inputFiles()]
+    broken = [f.write_bytes(b"not Parquet") for f in files]
+    for table in tables:
+        rows_ = device_rows(spark, ("2025-01-31", 1))
+        counts.append(jobs_of(spark, lambda: replace_periods(rows_, DEVICE, table, [date(2025, 1, 31)])))  # noqa: B023
+    assert counts[0] == counts[1] and len(broken) == 12
+    assert jobs_of(spark, lambda: periods_of(spark, DEVICE, tables[1])) == 0 and len(periods_of(spark, DEVICE, tables[1])) == 13
+
+
 def test_counts_are_rounded(spark):
     df = device_rows(spark, ("2025-01-31", 1)).withColumn("VIEWS", F.lit(Decimal("2.5")))
     assert rows(conformed(df, DEVICE), "VIEWS", "WATCH_TIME_MINUTES") == [(3, 1.5)]
