@@ -43,12 +43,13 @@ def _minima(numbers: Column, window: int) -> Column:
     return _let(_minima(numbers, half), lambda m: F.zip_with(m, F.slice(m, window - half + 1, F.size(m)), lambda a, b: F.least(a, b)))
 
 
-def fingerprints(text: Column, k: int = K, window: int = WINDOW) -> Column:
-    """The selected numbers, in the order of their windows."""
+def fingerprints(text: Column, k: int = K, window: int = WINDOW, skipped: Column | None = None) -> Column:
+    """The selected numbers, in the order of their windows; positions count from ``skipped`` on."""
+    last_place = F.lit(_LAST).cast("long") - (F.lit(0) if skipped is None else skipped)
 
     def number(wide: Column, at: Column, size: int | Column) -> Column:
         hashed = F.hash(F.substring(wide, at * 4 + 1, size)).cast("long").bitwiseAND(F.lit(0xFFFFFFFF))
-        return F.shiftleft(hashed, 31).bitwiseOR(F.lit(_LAST).cast("long") - at)
+        return F.shiftleft(hashed, 31).bitwiseOR(last_place - at)
 
     def of(wide: Column) -> Column:
         grams = (F.octet_length(wide) / 4).cast("int") - (k - 1)
@@ -67,6 +68,19 @@ def fingerprints(text: Column, k: int = K, window: int = WINDOW) -> Column:
     return _let(F.encode(F.coalesce(text, F.lit("")), "UTF-32"), of)
 
 
+def refingerprinted(text: Column, kept: Column, before: Column, k: int = K, window: int = WINDOW) -> Column:
+    """The fingerprint of a text whose first ``kept`` code points are those of a text with the fingerprint ``before``.
+
+    Windows inside the kept part select what they selected before. A number whose place is below the count of those
+    windows was selected by one of them, and the windows too early for the computation below select no others; so only
+    the windows that reach into the new part, and as many before them as one holds, are hashed again.
+    """
+    inside = kept - (k + window - 2)
+    skipped = F.greatest(inside - (window - 1), F.lit(0))
+    same = F.filter(before, lambda x: F.lit(_LAST).cast("long") - x.bitwiseAND(F.lit(_LAST).cast("long")) < inside)
+    return F.array_distinct(F.concat(same, fingerprints(F.substr(text, skipped + 1), k, window, skipped)))
+
+
 def hashes(fingerprint: Column) -> Column:
     return F.transform(fingerprint, lambda x: F.shiftright(x, 31))
 
@@ -125,7 +139,9 @@ def compared(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited, fingerprint, edited_fingerprint (arrays), near_edited, near_next of every document."""
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     rows = with_next(rows.withColumn("fingerprint", fingerprints(F.col("text"))), ["text", "fingerprint"])
-    rows = rows.withColumn("edited", edited(F.col("text"), F.col("next_text"))).withColumn("edited_fingerprint", fingerprints(F.col("edited")))
+    kept = F.char_length("text") - F.floor(F.char_length("text") / 3).cast("int")
+    rows = rows.withColumn("edited", edited(F.col("text"), F.col("next_text")))
+    rows = rows.withColumn("edited_fingerprint", refingerprinted(F.col("edited"), kept, F.col("fingerprint")))
     own, other, after = (hashes(F.col(c)) for c in ("fingerprint", "edited_fingerprint", "next_fingerprint"))
     return rows.select(
         "doc_id",

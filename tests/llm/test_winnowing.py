@@ -74,6 +74,31 @@ def test_compared(documents, texts, monkeypatch):
     assert all(r.near_edited == 1 for r in got if r.n_chars < 3)
 
 
+@pytest.mark.parametrize(("k", "window"), [(16, 32), (5, 4), (3, 7), (2, 1)])
+def test_only_the_edited_part_is_hashed_again(spark, texts, k, window):
+    """Equal to the fingerprint from scratch, whatever is kept."""
+    random_, pairs = random.Random(6), []
+    long = [" ".join(words(60 + i, 20 + 9 * i)) for i in range(15)]
+    for t in [*(t or "" for t in texts if t is None or len(t) < 2000), *long] * 3:
+        kept = random_.choice([len(t), len(t) - len(t) // 3, random_.randrange(len(t) + 1)])
+        pairs.append((t, kept, t[:kept] + random_.choice(texts[-20:])[: random_.randrange(60)]))
+    df = spark.createDataFrame(pairs, "text string, kept int, edited string")
+    again = N.refingerprinted(F.col("edited"), F.col("kept"), N.fingerprints(F.col("text"), k, window), k, window)
+    found = df.select("kept", "edited", again.alias("again"), N.fingerprints(F.col("edited"), k, window).alias("whole")).collect()
+    assert [r for r in found if r.again != r.whole] == [] and sum(len(r.whole) > 3 for r in found) > 20
+
+
+def test_likeness_of_neighbours(documents, texts):
+    """near_next and edited_fingerprint by the definition, over the rows in order."""
+    table = [(i, t) for i, t in enumerate([*texts, texts[-1], texts[8]])]
+    got = {r.doc_id: r for r in N.compared(documents(*table)).collect()}
+    direct = {r.doc_id: r.fp for r in documents(*[(i, got[i].edited) for i in got]).select("doc_id", N.fingerprints(F.col("text")).alias("fp")).collect()}
+    for i in got:
+        own, after = ({x >> 31 for x in got[j].fingerprint} for j in (i, (i - 1) % len(got)))
+        assert got[i].edited_fingerprint == direct[i]
+        assert abs(got[i].near_next - (len(own & after) / len(own | after) if own | after else 1.0)) < 1e-12
+
+
 def test_neighbours_over_many_ranges(spark):
     rows_ = spark.range(500).selectExpr("(id * id * 31) % 10007 doc_id", "cast(id as string) text").dropDuplicates(["doc_id"])
     got = {r.doc_id: r.next_doc_id for r in N.with_next(rows_, ["doc_id"]).collect()}
