@@ -75,10 +75,13 @@ def refingerprinted(text: Column, kept: Column, before: Column, k: int = K, wind
     windows was selected by one of them, and the windows too early for the computation below select no others; so only
     the windows that reach into the new part, and as many before them as one holds, are hashed again.
     """
-    inside = kept - (k + window - 2)
-    skipped = F.greatest(inside - (window - 1), F.lit(0))
-    same = F.filter(before, lambda x: F.lit(_LAST).cast("long") - x.bitwiseAND(F.lit(_LAST).cast("long")) < inside)
-    return F.array_distinct(F.concat(same, fingerprints(F.substr(text, skipped + 1), k, window, skipped)))
+
+    def of(inside: Column) -> Column:
+        skipped = F.greatest(inside - window, F.lit(0))  # what is left holds a whole window
+        same = F.filter(before, lambda x: F.lit(_LAST).cast("long") - x.bitwiseAND(F.lit(_LAST).cast("long")) < inside)
+        return F.array_distinct(F.concat(same, fingerprints(F.substr(text, skipped + 1), k, window, skipped)))
+
+    return _let(kept - (k + window - 2), of)  # counted once, not for every gram
 
 
 def hashes(fingerprint: Column) -> Column:
