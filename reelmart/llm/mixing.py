@@ -205,7 +205,8 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     same = lambda a, b, columns: reduce(lambda x, y: x & y, (F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in columns))
     taken = places.join(parts.alias("t"), same("p", "t", [*key, "start"])).select("p.*", "t.parts").alias("c")
     rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "source", F.xxhash64("text").alias("digest"), "text")
-    rows = rows.withColumn("number", F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(0)))).alias("d")
+    others = F.to_json(F.struct(F.lit(0).alias("_"), *(F.col("row").getField(c).alias(f"c{i}") for i, c in enumerate(docs.columns) if c not in ("doc_id", "source", "text"))))
+    rows = rows.withColumn("number", F.row_number().over(Window.partitionBy(*key).orderBy(others))).alias("d")  # ties by all columns
     rows = rows.join(taken, same("d", "c", [*key, "number"])).select("row", "text", "parts")
     rows = rows.withColumn("found", F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1)))
     pieces = F.transform("parts", lambda p: F.array_join(F.slice("found", (p["first"] + 1).cast("int"), p["words"].cast("int")), " "))

@@ -272,8 +272,10 @@ def links(
             return fine
 
         root = link(fps[0], homes, distance, agree if total is not None or ratio else None).roots(np.arange(len(table)))
-        other = np.flatnonzero(root != np.arange(len(table)))
-        return pa.table({"a": ids[other], "b": ids[root[other]]})
+        least = ids.copy()  # of a set of linked points, at its root
+        np.minimum.at(least, root, ids)
+        other = np.flatnonzero(ids != least[root])
+        return pa.table({"a": ids[other], "b": least[root[other]]})
 
     placed = points.mapInArrow(place, schema)
     return placed.groupBy("band", "shard").applyInArrow(join, "a long, b long").where("a <> b").distinct()
@@ -293,16 +295,22 @@ def _large_star(edges: DataFrame) -> DataFrame:
     return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
 
+def _closed(edges: DataFrame) -> bool:
+    """Whether all edges (a, b), a > b, distinct, are stars: every a has one edge, and no b is an a."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    ends = ends.union(edges.select("b", F.lit(0), F.lit(1)))
+    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up + down > 1 and up > 0").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
-    """(node, root) of every number that has an edge (a, b); the root is the least number of its component."""
+    """(node, root) of every number that has an edge (a, b); the root is the least number of its component.
+
+    Where the edges are stars already, as those of components within one shard are, no step is taken.
+    """
     edges = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    before = None
-    while True:
+    while not _closed(edges):
         edges = written(_star(_large_star(edges)), "edges")
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == before:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        before = state
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
 def grouped(prints: DataFrame, distance: int, total: int | None = None, ratio: float | None = None, **more) -> tuple[DataFrame, DataFrame]:
@@ -365,16 +373,17 @@ def alike(sets: list[np.ndarray], similarity: float) -> np.ndarray:
 
 
 def verified(docs: DataFrame, kinds: DataFrame, shingle: int, similarity: float, block_shingles: int = 1 << 21) -> DataFrame:
-    """(a, b) of kinds: a spanning forest of all links, by their shingles, between kinds of one root.
+    """(node, root) of kinds: the components of all links, by their shingles, between kinds of one root.
 
-    kinds: kind, root, size, least (a row of docs that has it). A root of more than ``block_shingles`` is cut into
-    blocks, so no task holds more than about two of them: each block is compared within itself and with one kind, the
-    leader; then each block of those that don't reach the leader so meets all blocks of its root.
+    kinds: kind, root, size, least (a row of docs that has it). Roots of at most ``block_shingles`` are compared whole,
+    each in one task, which gives their components at once. A larger one is cut into blocks, so no task holds more than
+    about two of them: each block is compared within itself and with one kind, the leader; then each block of those
+    that don't reach the leader so meets all blocks of its root; only these links are searched for components.
     """
     roots = kinds.groupBy("root").agg(F.count("*").alias("kinds"), F.sum("size").alias("total"), F.min("kind").alias("leader")).where("kinds > 1")
     members = kinds.join(roots, "root").withColumn("blocks", F.ceil(F.col("total") / block_shingles))
     members = written(members.select("kind", "root", "size", "blocks", "leader", "least.doc_id", "least.digest"), "members")
-    every = members.where("blocks = 1").agg(F.sum("size")).first()[0] or 0
+    known = members.agg(F.sum(F.when(F.col("blocks") <= 1, F.col("size"))).alias("small"), F.max("blocks").alias("blocks")).first()
     d = docs.select("doc_id", F.xxhash64("text").alias("digest"), "text").alias("d")
     on = F.col("d.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("d.digest") == F.col("m.digest"))
     columns = ["kind", "root", "size", "blocks", "leader"]
@@ -405,13 +414,16 @@ def verified(docs: DataFrame, kinds: DataFrame, shingle: int, similarity: float,
     def block(of: str, count: str) -> Column:
         return F.pmod(F.xxhash64("kind", F.lit(of)), F.col(count))
 
-    small = sets.where("blocks = 1").withColumn("first", F.lit(False))
-    small = small.withColumn("place", F.pmod(F.xxhash64("root"), F.lit(every // block_shingles + 1)))
+    small = sets.where("blocks <= 1").withColumn("first", F.lit(False))
+    small = small.withColumn("place", F.pmod(F.xxhash64("root"), F.lit((known.small or 0) // block_shingles + 1)))
+    closed = compared(small, "place").toDF("node", "root")
+    if (known.blocks or 0) <= 1:
+        return closed
     large = sets.where("blocks > 1").withColumn("first", F.col("kind") == F.col("leader"))
     dealt = large.where("not first").withColumn("place", block("all", "blocks"))
     heads = large.where("first").withColumn("place", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    found = [compared(small, "place"), written(compared(dealt.unionByName(heads), "root", "place"), "met")]
-    apart = large.where("not first").join(found[1].select(F.col("a").alias("kind"), F.col("b").alias("leader")), ["kind", "leader"], "left_anti")
+    found = [written(compared(dealt.unionByName(heads), "root", "place"), "met")]
+    apart = large.where("not first").join(found[0].select(F.col("a").alias("kind"), F.col("b").alias("leader")), ["kind", "leader"], "left_anti")
     apart = apart.join(apart.groupBy("root").agg(F.ceil(F.sum("size") / block_shingles).alias("parts")), "root")
     apart = written(apart.drop("items"), "apart")
     if not apart.isEmpty():
@@ -420,7 +432,7 @@ def verified(docs: DataFrame, kinds: DataFrame, shingle: int, similarity: float,
         side = side.withColumn("place", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         rest = dealt.join(parts, "root").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
         found.append(compared(side.unionByName(rest), "root", "part", "place"))
-    return reduce(DataFrame.union, found)
+    return closed.union(components(reduce(DataFrame.union, found)))
 
 
 def deduplicated(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, block_shingles: int = 1 << 21, **more) -> DataFrame:
@@ -440,10 +452,11 @@ def deduplicated(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, blo
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")).alias("least")
     kinds = rows.join(points.select("id", "root"), "id").groupBy("kind").agg(F.first("root").alias("root"), F.first("size").alias("size"), least)
     kinds = written(kinds, "kinds")
-    known = components(verified(docs, kinds, shingle, similarity, block_shingles))
+    known = verified(docs, kinds, shingle, similarity, block_shingles)
     known = kinds.join(known.withColumnRenamed("root", "joined"), F.col("kind") == F.col("node"), "left")
     keep = known.groupBy(F.coalesce("joined", "kind")).agg(F.min("least").alias("least")).select("least.doc_id", "least.digest")
     rows = docs.withColumn("_llm_digest", F.xxhash64("text")).alias("d")
     rows = rows.join(keep.alias("k"), F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("d._llm_digest") == F.col("k.digest")), "left_semi")
-    copy = F.row_number().over(Window.partitionBy("doc_id", "_llm_digest").orderBy(F.lit(0)))  # repeated rows
+    others = F.to_json(F.struct(F.lit(0).alias("_"), *(F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns) if c not in ("doc_id", "text"))))
+    copy = F.row_number().over(Window.partitionBy("doc_id", "_llm_digest").orderBy(others))  # of repeated rows the least by all columns
     return rows.withColumn("_llm_copy", copy).where("_llm_copy = 1").select(*docs.columns)
