@@ -2,8 +2,8 @@
 
 Anchors are windows of ``window - period + 1`` words at the positions of a difference cover modulo the period. For any
 two equal windows there is an offset at which both hold an anchor, so a window whose anchors are all unique is unique.
-Only the windows around shared anchors are then hashed whole (96 bits) and compared, which extends anchors to exact
-matches of any length.
+Only the windows around shared anchors are then hashed whole (96 bits, over XXH64 of the words) and compared, which
+extends anchors to exact matches of any length.
 
 Documents are dealt to chunks by ranges of doc_id and written once, bucketed by chunk, in the shared folder; later passes
 read a chunk beside the answers for it without moving texts. A chunk sends every hash once, however often it occurs
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelmart.llm.scratch import partitions, written, written_by
-from reelmart.llm.text import slices, utf8, window_hashes, word_hashes, word_spans
+from reelmart.llm.text import slices, utf8, window_hashes, word_digests, word_spans
 
 #: Perfect difference covers by period: any difference modulo the period is that of two of the positions.
 COVERS = {3: (0, 1), 7: (0, 1, 3), 13: (0, 1, 3, 9)}
@@ -46,7 +46,7 @@ class Chunk:
         hashes, counts = [], []
         for lo, hi in slices(offsets):
             starts, ends, firsts = word_spans(data, offsets[lo : hi + 1])
-            hashes.append(word_hashes(data, starts, ends))
+            hashes.append(word_digests(data, starts, ends))
             counts.append(np.diff(firsts))
         self.words = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
         self.counts = np.concatenate(counts) if counts else np.zeros(0, np.int64)

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 #: Space, tab, line feed, vertical tab, form feed, carriage return: what separates words.
 SEPARATOR = np.zeros(256, bool)
@@ -104,6 +105,15 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return out
 
 
+def word_digests(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """XXH64 of every word: slower than ``word_hashes``, but no words of a certain form collide."""
+    view, out, step = memoryview(data), np.zeros(len(starts), np.uint64), 1 << 16
+    for first in range(0, len(starts), step):
+        spans = map(slice, starts[first : first + step].tolist(), ends[first : first + step].tolist())
+        out[first : first + step] = np.fromiter(map(xxhash.xxh64_intdigest, map(view.__getitem__, spans)), np.uint64)
+    return out
+
+
 def window_hashes(words: np.ndarray, starts: np.ndarray, size: int, seed: int = 0) -> np.ndarray:
     """Hashes of the windows of ``size`` words at the given starts; another seed gives an independent hash."""
     values = mix(words + _U((seed * 0x9E3779B97F4A7C15) & ((1 << 64) - 1))) if seed else words

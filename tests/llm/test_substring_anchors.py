@@ -65,3 +65,14 @@ def test_one_passage_in_all(documents):
 
 def test_empty_table(documents):
     assert without_repeats(documents()).collect() == []
+
+
+def test_words_built_to_collide(documents):
+    """Thue-Morse words and their complements have equal polynomial hashes modulo 2**64, whatever the base."""
+    bits = [bin(i).count("1") % 2 for i in range(4096)]
+    one, other = ("".join("ab"[b ^ flip] for b in bits) for flip in (0, 1))
+    rest = " ".join(words(5, 19))
+    table = [(1, f"{one} {rest}"), (2, f"{other} {rest}"), (3, f"{one} {rest}")]
+    got = without_repeats(documents(*table), chunk_bytes=1_000)
+    assert rows(got, "doc_id", "n_words", "n_removed", "kept") == brute_force(table, 20)
+    assert dict(rows(got, "doc_id", "n_removed")) == {1: 0, 2: 0, 3: 20}
