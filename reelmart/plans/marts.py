@@ -15,7 +15,7 @@ from reelmart.functions import fixed_values as V
 from reelmart.functions.buckets import device_bucket, geo_bucket, region_flags, traffic_category
 from reelmart.functions.dates import month_of_key
 from reelmart.functions.titles import video_form
-from reelmart.operators.combine import demo_totals, region_views_revenue, video_measures
+from reelmart.operators.combine import demo_totals, region_monthly, video_measures
 from reelmart.operators.dimensions import (
     join_by_video,
     map_channel,
@@ -170,10 +170,7 @@ def region_mart(dims: Dimensions, periods: Periods = None) -> DataFrame:
     """Views and partner revenue by month, channel, form, uploader and part of the world."""
     inputs = dims.inputs
     measures = [*COUNT_SUMS, "ESTIMATED_PARTNER_REVENUE"]
-    daily = region_views_revenue(inputs.basic, inputs.revenue, periods)
-    monthly = daily.groupBy(
-        month_of_key("DATE").alias("MONTH"), "CHANNEL_ID", "VIDEO_ID", "UPLOADER_TYPE", "COUNTRY_CODE"
-    ).agg(*sums(measures))
+    monthly = region_monthly(inputs.basic, inputs.revenue, periods)
     keys = ["MONTH", "CHANNEL_ID", "VIDEO_FORM", "UPLOADER_TYPE"]
     by_country = _with_forms(monthly, dims, measures).groupBy(*keys, "COUNTRY_CODE").agg(*sums(measures))
     placed = join_lookup(by_country, dims.countries, "COUNTRY_CODE", how="inner")

@@ -5,7 +5,7 @@ from conftest import SCHEMAS, SMALL, rows
 from pyspark.sql import functions as F
 
 from reelmart.functions.titles import sample_title_rules
-from reelmart.operators.combine import demo_join
+from reelmart.operators.combine import demo_join, region_monthly
 from reelmart.operators.profile import demo_profile
 from reelmart.plans import marts as M
 from reelmart.plans.dimensions import Dimensions
@@ -168,6 +168,18 @@ def test_date_window_and_columns_reach_the_scan(spark, inputs):
     assert "LIKES" not in views and "IsNotNull(COUNTRY_CODE)" in views
 
 
+def test_region_shuffles_no_day_of_views(spark, star):
+    """Before any exchange the views are sums by month; the match with revenue and the months share a partitioning."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = region_monthly(star.basic, star.revenue)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    exchanges = [line for line in text.splitlines() if "Exchange" in line]
+    assert len(exchanges) == 4
+    assert len([e for e in exchanges if "hashpartitioning(DATE" in e]) == 1  # the revenue, once
+
+
 def test_one_video_with_a_third_of_all_rows(spark, dims, inputs):
     """The hot video leaves the scan as partial sums; the result is the plain sum."""
     n = 3000

@@ -4,6 +4,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from reelmart.functions.dates import month_of_key
 from reelmart.operators import combine as C
 from reelmart.operators import dimensions as D
 from reelmart.operators.lookups import join_lookup, lookup
@@ -99,6 +100,34 @@ def test_region_counts_revenue_under_each_channel(table):
     ]
 
 
+def test_regional_months_equal_the_sum_of_their_days(spark, table):
+    """Every day of a month has its bit; channels, missing keys and days with one side only are as in the daily match."""
+    keys = list(product(["v", None], ["US", "FR", None], ["self", None]))
+    basic = [
+        view(day, i + n, VIDEO_ID=v, COUNTRY_CODE=c, UPLOADER_TYPE=u, CHANNEL_ID=channel, WATCH_TIME_MINUTES=dec(n))
+        for i, (v, c, u) in enumerate(keys)
+        for n, day in enumerate([20250101, 20250131, 20250131, 20250228, 20250312, None])
+        for channel in ("c1", "c2", None)
+        if (i + n + len(channel or "")) % 3
+    ]
+    revenue = [
+        money(day, VIDEO_ID=v, COUNTRY_CODE=c, UPLOADER_TYPE=u, ESTIMATED_PARTNER_REVENUE=amount)
+        for v, c, u in keys
+        for day, amount in [(20250101, dec(1)), (20250130, dec(2)), (20250131, dec(4)), (20250131, dec(8)), (20250312, None), (None, dec(16))]
+    ]
+    basic, revenue = table("basic", *basic), table("revenue", *revenue)
+    names = ["MONTH", "CHANNEL_ID", "VIDEO_ID", "UPLOADER_TYPE", "COUNTRY_CODE"]
+    measures = ["VIEWS", "WATCH_TIME_MINUTES", "ESTIMATED_PARTNER_REVENUE"]
+    daily = C.region_views_revenue(basic, revenue).withColumn("MONTH", month_of_key("DATE"))
+    want = daily.groupBy(*names).agg(*[F.sum(m).alias(m) for m in measures])
+    got = C.region_monthly(basic, revenue)
+    assert rows(got, *names, *measures) == rows(want, *names, *measures)
+    paid = rows(got.where("VIDEO_ID = 'v' AND ESTIMATED_PARTNER_REVENUE IS NOT NULL"), "ESTIMATED_PARTNER_REVENUE")
+    assert {(1.0,), (12.0,), (13.0,)} >= set(paid) >= {(13.0,)}
+    january = C.region_monthly(basic, revenue, [(20250101, 20250131)])
+    assert rows(january, *names, *measures) == rows(want.where("MONTH = DATE'2025-01-31'"), *names, *measures)
+
+
 def demo(gender="MALE", age="AGE_18_24", pct=50.0, day=20250101, **more):
     key = {k: v for k, v in KEY.items() if k != "UPLOADER_TYPE"}
     row = {**key, "UPLOADER_CODE": "self", "REPORTING_DATE": day, "GENDER": gender, "AGE_GROUP": age}
