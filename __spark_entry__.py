@@ -8,7 +8,7 @@ import warnings
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import datetime, timedelta, timezone
-from functools import cached_property
+from functools import cached_property, reduce
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,7 +38,8 @@ from reelmart.operators.profile import demo_geo_sum, demo_profile, with_group_to
 from reelmart.plans import marts as M  # noqa: E402
 from reelmart.plans.dimensions import Dimensions  # noqa: E402
 from reelmart.plans.registry import OUTPUTS  # noqa: E402
-from reelmart.session import scratch_path  # noqa: E402
+from reelmart.session import materialized, scratch_path  # noqa: E402
+from reelmart.sources.inputs import FACTS, INPUT_COLUMNS, Inputs  # noqa: E402
 from reelmart.sources.star_adapter import Star  # noqa: E402
 
 _MORE: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -251,6 +252,15 @@ def _audit(s: Session) -> DataFrame:
     return audit.select("OUTPUT", "PERIOD_START", "PERIOD_END", "STATUS", "ROWS", number)
 
 
+def _latest_days(s: Session) -> DataFrame:
+    """The latest day of each fact, as a run finds it for facts that lie in Parquet folders."""
+    kept = {name: materialized(s.star.input(name), name) for name in FACTS}
+    tables = {name: s.star.input(name) for name in INPUT_COLUMNS} | {name: df for name, (df, _) in kept.items()}
+    inputs = Inputs.of(tables, {name: folder for name, (_, folder) in kept.items()})
+    keys = {o.input: o.input_date for o in OUTPUTS.values()} | {"revenue": "DATE"}
+    return s.spark.createDataFrame([(name, inputs.latest(name, keys[name])) for name in FACTS], "INPUT string, LATEST long")
+
+
 def _refused_cases(s: Session) -> DataFrame:
     """A run with a missing output table and an input without days: both are recorded, the third output is loaded."""
     run = s.run("traffic", "demographics", "device")
@@ -282,6 +292,28 @@ def _all_outputs(s: Session) -> DataFrame:
     return out
 
 
+def _output_columns(s: Session) -> DataFrame:
+    """A full run over the monthly outputs: place, name and type of every column of the tables, and how many values it has."""
+    names = [name for name, output in OUTPUTS.items() if not output.daily]
+    run = s.run(*names)
+    _checked(run.execute())
+    parts = []
+    for name in names:
+        rows = s.spark.table(run.tables[name])
+        counts = rows.agg(*[F.count(c).alias(c) for c in rows.columns])
+        columns = [
+            F.struct(
+                F.lit(i).cast("long").alias("POSITION"),
+                F.lit(f.name).alias("COLUMN"),
+                F.lit(f.dataType.simpleString()).alias("TYPE"),
+                F.col(f.name).alias("VALUES"),
+            )
+            for i, f in enumerate(rows.schema, 1)
+        ]
+        parts.append(counts.select(F.lit(name).alias("OUTPUT"), F.inline(F.array(*columns))))
+    return reduce(DataFrame.unionByName, parts)
+
+
 _CHANNEL = ["UPLOADER_TYPE", "PLATFORM", "MONTH", "CHANNEL_ID", "CHANNEL_NAME"]
 
 _QUERIES: dict[str, Callable[[Session], DataFrame]] = {
@@ -383,6 +415,8 @@ _QUERIES: dict[str, Callable[[Session], DataFrame]] = {
     "reprocess_months": _reprocess,
     "run_audit": _audit,
     "refused_cases": _refused_cases,
+    "latest_days": _latest_days,
+    "output_columns": _output_columns,
 }
 
 

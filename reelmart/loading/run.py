@@ -86,7 +86,7 @@ class Run:
     def _source(self, output: Output) -> DataFrame:
         """The latest day of the output's input, as a one-row table: a fact is searched for it once a run."""
         if output.input not in self._latest:
-            latest = getattr(self.inputs, output.input).agg(F.max(output.input_date).cast("int")).first()[0]
+            latest = self.inputs.latest(output.input, output.input_date)
             if latest is None:
                 raise ValueError(f"input {output.input} has no {output.input_date}")
             self._latest[output.input] = self.spark.createDataFrame([(latest,)], f"{output.input_date} int")

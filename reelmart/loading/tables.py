@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-from contextlib import contextmanager
+from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date
 from urllib.parse import unquote
@@ -14,7 +13,7 @@ from pyspark.sql import types as T
 
 from reelmart.plans.registry import Output
 from reelmart.schemas import OUTPUT_DDL, output_schema
-from reelmart.session import remove
+from reelmart.session import remove, settings
 
 
 #: How a catalog names the partition of a null period.
@@ -64,25 +63,17 @@ def _in_table_order(spark: SparkSession, df: DataFrame, output: Output, table: s
     return conformed(df, output).hint("rebalance", output.period).select(*spark.table(table).columns)
 
 
-@contextmanager
-def _write_settings(spark: SparkSession, overwrite: str) -> Iterator[None]:
-    """Settings of one write, restored afterwards.
+def _write_settings(spark: SparkSession, overwrite: str):
+    """Settings of one write.
 
     Small shuffle partitions stay apart up to one per core: each period is a file of its own whatever
     its size, and one task should not have to write them all.
     """
-    settings = {
+    values = {
         "spark.sql.sources.partitionOverwriteMode": overwrite,
         "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k",
     }
-    before = {key: spark.conf.get(key) for key in settings}
-    for key, value in settings.items():
-        spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
+    return settings(spark, values)
 
 
 def append(df: DataFrame, output: Output, table: str) -> None:

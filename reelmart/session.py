@@ -5,7 +5,8 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
-from contextlib import suppress
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager, suppress
 from functools import cache
 
 from py4j.protocol import Py4JError
@@ -28,6 +29,19 @@ def local_session(cores: int | str = 8, app: str = "reelmart") -> SparkSession:
     )
 
 
+@contextmanager
+def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
+    """Session settings for one action, restored afterwards."""
+    before = {key: spark.conf.get(key) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 @cache
 def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="reelmart-ckpt-")

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass, fields
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from reelmart.sources.latest import latest_key, lies_in, partitioned, plain_folder
+
 #: Columns every input must offer; further columns are ignored.
 INPUT_COLUMNS = {
     "basic": [
@@ -82,6 +84,8 @@ INPUT_COLUMNS = {
     "device_dim": ["DEVICE_TYPE", "DEVICE_TYPE_NAME"],
 }
 
+FACTS = ["basic", "revenue", "demographics", "combined"]
+
 
 @dataclass(frozen=True)
 class Inputs:
@@ -99,22 +103,34 @@ class Inputs:
     device_dim: DataFrame
 
     def __post_init__(self):
-        for f in fields(self):
-            have = {c.upper() for c in getattr(self, f.name).columns}
-            missing = [c for c in INPUT_COLUMNS[f.name] if c not in have]
+        for name, columns in INPUT_COLUMNS.items():
+            have = {c.upper() for c in getattr(self, name).columns}
+            missing = [c for c in columns if c not in have]
             if missing:
-                raise ValueError(f"input {f.name} lacks {', '.join(missing)}")
+                raise ValueError(f"input {name} lacks {', '.join(missing)}")
+
+    def latest(self, name: str, key: str) -> int | None:
+        """The latest day key of a fact, from footers if its folder is known; None if it has none."""
+        return latest_key(getattr(self, name), key)
 
     @classmethod
-    def of(cls, tables: Mapping[str, DataFrame]) -> Inputs:
-        return cls(**{name: tables[name].select(*columns) for name, columns in INPUT_COLUMNS.items()})
+    def of(cls, tables: Mapping[str, DataFrame], folders: Mapping[str, str] | None = None) -> Inputs:
+        """Inputs by name. ``folders`` tells where the table of an input lies as unpartitioned Parquet files."""
+        chosen = {name: tables[name].select(*columns) for name, columns in INPUT_COLUMNS.items()}
+        for name, folder in (folders or {}).items():
+            lies_in(chosen[name], folder)
+        return cls(**chosen)
 
     @classmethod
     def from_catalog(cls, spark: SparkSession, names: Mapping[str, str]) -> Inputs:
         """Catalog tables by name, e.g. ``{"basic": "lake.reports.basic", ...}``."""
-        return cls.of({name: spark.table(names[name]) for name in INPUT_COLUMNS})
+        places = {name: plain_folder(spark, names[name]) for name in FACTS}
+        folders = {name: folder for name, folder in places.items() if folder}
+        return cls.of({name: spark.table(names[name]) for name in INPUT_COLUMNS}, folders)
 
     @classmethod
     def from_parquet(cls, spark: SparkSession, folder: str) -> Inputs:
         """One Parquet folder or file per input, named after it."""
-        return cls.of({name: spark.read.parquet(f"{folder}/{name}") for name in INPUT_COLUMNS})
+        tables = {name: spark.read.parquet(f"{folder}/{name}") for name in INPUT_COLUMNS}
+        flat = {name: f"{folder}/{name}" for name in FACTS if not partitioned(spark, f"{folder}/{name}")}
+        return cls.of(tables, flat)

@@ -19,7 +19,8 @@ from reelmart.loading.run import Run
 from reelmart.loading.tables import append, clear_periods, conformed, create_output, periods_of, replace_periods
 from reelmart.plans.registry import OUTPUTS
 from reelmart.schemas import OUTPUT_DDL, output_schema
-from reelmart.session import checkpoint_dir, materialized, scratch_path
+from reelmart.session import checkpoint_dir, materialized, scratch_path, settings
+from reelmart.sources.latest import FOOTERS_ANSWER, greatest, latest_key, lies_in, partitioned, plain_folder
 
 DEVICE = OUTPUTS["device"]
 
@@ -319,3 +320,61 @@ assert df.count() == 10 and path.startswith("file://{tmp_path}/")
             break
         time.sleep(0.2)
     assert left == []
+
+
+def stored_facts(spark, keys, partition_by=()):
+    """A fact of day keys as one Parquet folder."""
+    path = scratch_path(spark, "fact")
+    facts = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "REPORTING_DATE int, VIEWS long")
+    facts.repartition(2, "REPORTING_DATE").write.partitionBy(*partition_by).parquet(path)
+    return path
+
+
+@pytest.mark.parametrize(
+    "keys, latest",
+    [([20250101, 20250315, None, 20241231], 20250315), ([], None), ([None, None], None)],
+)
+@pytest.mark.parametrize("partition_by", [(), ("REPORTING_DATE",)])
+def test_latest_key_of_stored_facts(spark, keys, latest, partition_by):
+    """Footers, the scan that stands in where they can't tell (only nulls), and partitions give the same day."""
+    path = stored_facts(spark, keys, partition_by)
+    opened = spark.read.schema("REPORTING_DATE int, VIEWS long").parquet(path)
+    flat = None if partitioned(spark, path) else path
+    assert bool(flat) == (not partition_by or not keys)
+    before = spark.conf.get("spark.sql.sources.useV1SourceList")
+    assert latest_key(opened, "REPORTING_DATE") == latest
+    if flat:
+        assert latest_key(lies_in(opened, flat), "REPORTING_DATE") == latest
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") == before
+
+
+def test_latest_key_reads_no_column(spark):
+    path = stored_facts(spark, [20250101, 20250315])
+    with settings(spark, FOOTERS_ANSWER):
+        top = greatest(spark.read.schema("REPORTING_DATE int").parquet(path), "REPORTING_DATE")
+        text = top._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [MAX(REPORTING_DATE)]" in text
+
+
+def test_latest_of_inputs(spark, inputs):
+    """An input put in another's place is asked itself, not the other's folder; so are tables that are no plain Parquet."""
+    path = stored_facts(spark, [20250315])
+    given = inputs(basic=[dict(REPORTING_DATE=20250101)])
+    assert given.latest("basic", "REPORTING_DATE") == 20250101
+    lies_in(given.basic, path)
+    assert given.latest("basic", "REPORTING_DATE") == 20250315
+    assert replace(given, basic=given.basic.where("true")).latest("basic", "REPORTING_DATE") == 20250101
+    assert given.latest("combined", "DATE") is None
+
+
+def test_plain_folder(spark):
+    tag = uuid.uuid4().hex
+    path = stored_facts(spark, [20250315])
+    spark.sql(f"CREATE TABLE flat_{tag} (REPORTING_DATE int, VIEWS long) USING parquet LOCATION '{path}'")
+    spark.sql(f"CREATE TABLE parts_{tag} (VIEWS long, REPORTING_DATE int) USING parquet PARTITIONED BY (REPORTING_DATE)")
+    spark.sql(f"CREATE TABLE csv_{tag} (REPORTING_DATE int) USING csv")
+    spark.sql(f"CREATE TEMPORARY VIEW view_{tag} AS SELECT * FROM flat_{tag}")
+    found = plain_folder(spark, f"flat_{tag}")
+    assert found.endswith(path.rsplit("/", 1)[1])
+    assert latest_key(lies_in(spark.table(f"flat_{tag}"), found), "REPORTING_DATE") == 20250315
+    assert [plain_folder(spark, f"{kind}_{tag}") for kind in ("parts", "csv", "view")] == [None] * 3
