@@ -4,8 +4,9 @@ Groups (equal texts) come as digests with their bytes. Packing has two levels, s
 groups are spread over cells by digest, and each cell streams its groups in descending size into bundles of a fixed
 capacity, always the tightest that still has room, found in a balanced tree; then the bundles, whose number depends on
 the shards and cells and not on the data, are packed the same way into the shards. With a fixed number of shards the
-capacity is the least that best fit decreasing keeps within that number; with a fixed capacity the number of shards is
-what it needs.
+capacity is the least that best fit decreasing keeps within that number. With a fixed capacity each cell packs its groups
+into shards of that capacity at once, and only the one shard that a cell leaves half empty is packed with those of other
+cells.
 
 Defined cases: a null text is an empty one, of size 1; rows of equal texts stay together, repeated rows
 included; a group above the capacity has a shard of its own; a null doc_id is numbered first; an empty table gives an
@@ -17,27 +18,34 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reelmart.llm.scratch import partitions, written
 
+#: With a capacity: how many shards' worth of bytes make a cell of its own.
+SHARDS_OF_A_CELL = 16
+
 
 class OpenBins:
-    """Bins by remaining room in a treap: the tightest bin with room for a size in logarithmic time."""
+    """Bins by remaining room in a treap: the tightest bin with room for a size in logarithmic time.
+
+    The node of a bin that is taken serves the next one added, so there are never more nodes than open bins.
+    """
 
-    __slots__ = ("left", "right", "room", "bin", "rank", "root", "state")
+    __slots__ = ("left", "right", "room", "bin", "rank", "root", "state", "free")
 
     def __init__(self):
         self.left, self.right, self.room, self.bin, self.rank = [0], [0], [0], [0], [0]
-        self.root, self.state = 0, 0x2545F491
+        self.root, self.state, self.free = 0, 0x2545F491, []
 
     def add(self, room: int, bin_: int) -> None:
         self.state = (self.state * 1103515245 + 12345) & 0x7FFFFFFF
+        node = self.free.pop() if self.free else len(self.room)
         for column, value in ((self.left, 0), (self.right, 0), (self.room, room), (self.bin, bin_), (self.rank, self.state)):
-            column.append(value)
+            column[node : node + 1] = [value]
         below, above = self._split(self.root, room, bin_)
-        self.root = self._merge(self._merge(below, len(self.room) - 1), above)
+        self.root = self._merge(self._merge(below, node), above)
 
     def take(self, size: int) -> tuple[int, int] | None:
         """(room, bin) of the tightest bin with at least that room, removed; the lowest bin among equals."""
@@ -53,6 +61,7 @@ class OpenBins:
         below, rest = self._split(self.root, room, bin_)
         _, above = self._split(rest, room, bin_ + 1)
         self.root = self._merge(below, above)
+        self.free.append(best)
         return room, bin_
 
     def _split(self, node: int, room: int, bin_: int) -> tuple[int, int]:
@@ -141,10 +150,12 @@ def assign(rows: DataFrame, shards: int | None = 16, capacity: int | None = None
     shards: their number, or None with a capacity in bytes. bundles: how many a shard has at least.
     """
     spark = rows.sparkSession
-    cells = partitions(spark)
     total = rows.agg(F.sum("size")).first()[0] or 0
     groups = rows.groupBy("digest").agg(F.sum("size").alias("bytes"))
-    room = max(1, total // (shards * bundles) if shards else capacity // bundles)
+    if shards:
+        cells, room = partitions(spark), max(1, total // (shards * bundles))
+    else:  # a cell fills its shards by itself, so it should have many
+        cells, room = min(partitions(spark), max(1, total // (SHARDS_OF_A_CELL * capacity))), capacity
     groups = groups.withColumn("cell", F.pmod(F.xxhash64("digest"), F.lit(cells)))
 
     def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,13 +171,44 @@ def assign(rows: DataFrame, shards: int | None = 16, capacity: int | None = None
 
     sorted_groups = groups.repartition(cells, "cell").sortWithinPartitions("cell", F.desc("bytes"), "digest")
     placed = written(sorted_groups.mapInArrow(bundle, "digest binary, bytes long, cell long, bundle long"), "groups")
-    loads = placed.groupBy("cell", "bundle").agg(F.sum("bytes").alias("load")).collect()
+    loads = placed.groupBy("cell", "bundle").agg(F.sum("bytes").alias("load"))
+    places = _into_shards(spark, loads, shards) if shards else _own_shards(spark, loads, capacity)
+    return placed.select("digest", "cell", "bundle"), places
+
+
+def _table(spark: SparkSession, loads: list[Row], shard: list[int]) -> DataFrame:
+    columns = [[r.cell for r in loads], [r.bundle for r in loads], shard]
+    kinds = [pa.int64(), pa.int64(), pa.int32()]
+    return spark.createDataFrame(pa.table(list(map(pa.array, columns, kinds)), names=["cell", "bundle", "shard"]))
+
+
+def _descending(loads: DataFrame) -> list[Row]:
+    return sorted(loads.collect(), key=lambda r: (-r.load, r.cell, r.bundle))
+
+
+def _into_shards(spark: SparkSession, loads: DataFrame, shards: int) -> DataFrame:
     # at most 2 x shards x bundles + cells rows, whatever the data: all bundles of a cell but one are over half full
-    loads = sorted(((r.load, r.cell, r.bundle) for r in loads), key=lambda x: (-x[0], x[1], x[2]))
-    sizes = [x[0] for x in loads]
-    shard = pack_into(sizes, shards) if shards else pack(sizes, capacity)
-    table = pa.table({"cell": pa.array([x[1] for x in loads], pa.int64()), "bundle": pa.array([x[2] for x in loads], pa.int64()), "shard": pa.array(shard, pa.int32())})
-    return placed.select("digest", "cell", "bundle"), spark.createDataFrame(table)
+    found = _descending(loads)
+    return _table(spark, found, pack_into([r.load for r in found], shards))
+
+
+def _own_shards(spark: SparkSession, loads: DataFrame, capacity: int) -> DataFrame:
+    """Bins over half full are shards as they are, numbered cell by cell; the others are packed together.
+
+    Best fit leaves at most one bin of a cell half empty, so the driver sees two rows a cell.
+    """
+    loads = written(loads.withColumn("whole", F.col("load") * 2 > capacity), "loads")
+    whole = loads.where("whole")
+    bases, base = [], 0
+    for row in sorted(whole.groupBy("cell").count().collect(), key=lambda r: r.cell):
+        bases.append((row.cell, base))
+        base += row["count"]
+    in_cell = F.row_number().over(Window.partitionBy("cell").orderBy("bundle"))
+    places = whole.join(spark.createDataFrame(bases, "cell long, base long"), "cell").select(
+        "cell", "bundle", (F.col("base") + in_cell - 1).cast("int").alias("shard")
+    )
+    rest = _descending(loads.where("NOT whole"))
+    return places.union(_table(spark, rest, [base + s for s in pack([r.load for r in rest], capacity)]))
 
 
 def numbered(rows: DataFrame, order: list[str], shard: str = "shard", part: str = "cell") -> DataFrame:

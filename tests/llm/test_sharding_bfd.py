@@ -29,6 +29,15 @@ def test_tree_is_best_fit_decreasing(seed):
     assert B.pack(sizes, 100) == naive(sizes, 100)
 
 
+def test_nodes_of_taken_bins_serve_again():
+    random_ = random.Random(3)
+    packing = B.Packing(1000)
+    for size in sorted((random_.randrange(1, 400) for _ in range(20_000)), reverse=True):
+        packing.put(size)
+    nodes = len(packing.open.room) - 1
+    assert nodes <= len(packing.loads) and nodes == len(packing.open.free) + sum(load < 1000 for load in packing.loads)
+
+
 def test_fixed_number_of_bins_is_even():
     random_ = random.Random(1)
     sizes = sorted((random_.randrange(1, 1000) for _ in range(3000)), reverse=True)
@@ -84,3 +93,19 @@ def test_fixed_capacity_and_columns(documents, odd_texts):
 
 def test_empty(documents):
     assert B.shard_sizes(documents()).collect() == [] and B.sharded(documents()).collect() == []
+
+
+@pytest.mark.parametrize("capacity", [100, 1500, 10**9])
+def test_capacity_over_many_cells(documents, capacity):
+    """Nearly no more shards than one packing of all groups needs; none above the capacity but single large groups."""
+    random_ = random.Random(4)
+    table = [(i, "x" * random_.randrange(0, 90) + str(i)) for i in range(2000)] + [(5000, "long " * 40), (5001, None)]
+    got = B.sharded(documents(*table), None, capacity).select("doc_id", "shard").collect()
+    assert sorted(r.doc_id for r in got) == sorted(i for i, _ in table)
+    size = {i: len(t or "") + 1 for i, t in table}
+    loads = collections.Counter()
+    for r in got:
+        loads[r.shard] += size[r.doc_id]
+    assert sorted(loads) == list(range(len(loads)))
+    assert all(load <= capacity for load in loads.values() if load != size[5000])
+    assert len(loads) <= 1.1 * (max(B.pack(sorted(size.values(), reverse=True), capacity)) + 1)
