@@ -379,7 +379,7 @@ _QUERIES: dict[str, Callable[[Session], DataFrame]] = {
         D.map_series(s.months, s.dims.series_by_video), "VIEWS", "EXTRACTED_PPL_ID", "SERIES_ID", "SERIES_NAME"
     ),
     "parent_series": lambda s: _video_key(
-        D.map_parent_series(D.map_series(s.months, s.dims.series_by_video), s.dims.parents),
+        D.map_series(s.months, D.map_parent_series(s.dims.series_by_video, s.dims.parents), s.dims.parents),
         "VIEWS",
         "SERIES_ID",
         "PARENT_SERIES_ID",

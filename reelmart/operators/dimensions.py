@@ -207,18 +207,24 @@ def corrected_series(programs: DataFrame, corrected: Lookup) -> DataFrame:
     )
 
 
-def map_series(facts: DataFrame, series_by_video: DataFrame) -> DataFrame:
+#: What :func:`map_parent_series` adds.
+PARENT_COLUMNS = ["PARENT_SERIES_ID", "PARENT_SERIES_NAME"]
+
+
+def map_series(facts: DataFrame, series_by_video: DataFrame, parents: Lookup | None = None) -> DataFrame:
     """Join series by video; a video without metadata gets the id -1 and the name ``other``.
 
     With COPIES on the series' side, a row appears once per copy. It is repeated after the join, so that
-    what a join may broadcast is never larger than it was counted to be.
+    what a join may broadcast is never larger than it was counted to be. ``parents`` is for a series' side
+    that :func:`map_parent_series` has given its parents: a video without metadata then gets those of the id -1.
     """
+    missing = {"SERIES_ID": F.lit(V.NO_SERIES_ID), "SERIES_NAME": F.lit(V.NO_SERIES_NAME)}
+    if parents is not None:
+        none = parents.rows.where(F.col("SERIES_ID") == V.NO_SERIES_ID)  # a row at most
+        missing |= {name: none.select(name).scalar() for name in PARENT_COLUMNS}
     joined = join_by_video(facts, series_by_video.withColumn("_known", F.lit(True)))
     joined = joined.withColumns(
-        {
-            "SERIES_ID": F.when(F.col("_known"), F.col("SERIES_ID")).otherwise(V.NO_SERIES_ID),
-            "SERIES_NAME": F.when(F.col("_known"), F.col("SERIES_NAME")).otherwise(V.NO_SERIES_NAME),
-        }
+        {name: F.when(F.col("_known"), F.col(name)).otherwise(value) for name, value in missing.items()}
     ).drop("_known")
     if "COPIES" not in series_by_video.columns:
         return joined
@@ -226,8 +232,8 @@ def map_series(facts: DataFrame, series_by_video: DataFrame) -> DataFrame:
 
 
 def series_copies(resolved: DataFrame) -> DataFrame:
-    """Distinct series of each video and how many metadata rows lead to them."""
-    keys = ["VIDEO_ID", "SERIES_ID", "SERIES_NAME"]
+    """Distinct series of each video, with their parents if given, and how many metadata rows lead to them."""
+    keys = ["VIDEO_ID", "SERIES_ID", "SERIES_NAME", *(c for c in PARENT_COLUMNS if c in resolved.columns)]
     return resolved.groupBy(*keys).agg(F.sum("COPIES").alias("SERIES_COPIES"))
 
 
@@ -246,8 +252,13 @@ def parent_series(program: DataFrame, series: DataFrame) -> DataFrame:
     return join_lookup(first_parent_ids(program), names, "PARENT_SERIES_ID")
 
 
-def map_parent_series(facts: DataFrame, parents: Lookup) -> DataFrame:
-    return join_lookup(facts, parents, "SERIES_ID")
+def map_parent_series(rows: DataFrame, parents: Lookup) -> DataFrame:
+    """Parent id and name by SERIES_ID.
+
+    Videos without a series share the id -1, often a large part of all. Give the series of the videos, before they
+    meet the facts: the facts then need no join by series, and what is shared out here are metadata rows.
+    """
+    return join_lookup(rows, parents, "SERIES_ID", hot=V.NO_SERIES_ID)
 
 
 # Multiplying sums by the number of matching dimension rows.

@@ -34,24 +34,35 @@ def lookup(rows: DataFrame, *keys: str, large: bool = False) -> Lookup:
     return Lookup(rows, keys, large)
 
 
-def join_lookup(facts: DataFrame, dim: Lookup, *fact_keys: str, how: str = "left", null_safe: bool = False) -> DataFrame:
+def join_lookup(
+    facts: DataFrame, dim: Lookup, *fact_keys: str, how: str = "left", null_safe: bool = False, hot: str | None = None
+) -> DataFrame:
     """Join facts with a dimension (``left`` or ``inner``); the dimension's keys are dropped.
 
     For a dimension said to be large, the shuffle is on (key, salt): the salt is a hash of the fact
     row, and every dimension row is present under all salts, so a key that holds a large part of the
-    facts (or NULL) is shared out over many tasks. Both ways give the same rows.
+    facts (or NULL) is shared out over many tasks. ``hot`` names a value of a single key that is known to
+    hold many facts: only it and NULL are shared out, and only its rows of the dimension are repeated. All
+    ways give the same rows.
     """
     aliases = [f"{_KEY}_{i}" for i in range(len(dim.keys))]
     rows = dim.rows.withColumnsRenamed(dict(zip(dim.keys, aliases)))
-    if dim.large:
-        facts = facts.withColumn(_SALT, F.pmod(F.xxhash64(*facts.columns), F.lit(SALTS)).cast("int"))
-        rows = rows.withColumn(f"{_SALT}_r", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = dim.large or hot is not None
+    if salted:
+        salt, salts = F.pmod(F.xxhash64(*facts.columns), F.lit(SALTS)).cast("int"), F.sequence(F.lit(0), F.lit(SALTS - 1))
+        if not dim.large:
+            key = F.col(fact_keys[0])
+            salt = F.when(key.isNull() | (key == hot), salt).otherwise(0)
+            alias = F.col(aliases[0])
+            salts = F.when(alias.isNull() | (alias == hot), salts).otherwise(F.array(F.lit(0)))
+        facts = facts.withColumn(_SALT, salt)
+        rows = rows.withColumn(f"{_SALT}_r", F.explode(salts))
 
     def same(fact_key: str, alias: str) -> Column:
         left, right = F.col(fact_key), F.col(alias)
         return left.eqNullSafe(right) if null_safe else left == right
 
     tests = [same(k, a) for k, a in zip(fact_keys, aliases)]
-    if dim.large:
+    if salted:
         tests.append(F.col(_SALT) == F.col(f"{_SALT}_r"))
     return facts.join(rows, reduce(and_, tests), how).drop(*aliases, _SALT, f"{_SALT}_r")

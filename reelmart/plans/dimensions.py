@@ -50,11 +50,16 @@ class Dimensions:
     @cached_property
     def series_by_video(self) -> DataFrame:
         corrected = lookup(D.corrected_table(self.inputs.corrected_series), "DOMO_SERIES_NAME")
-        return self._kept(D.corrected_series(self.programs, corrected))
+        return D.corrected_series(self.programs, corrected)
+
+    @cached_property
+    def series_and_parents(self) -> DataFrame:
+        """The series of the videos with their parents, found among metadata rows and not for each fact."""
+        return self._kept(D.map_parent_series(self.series_by_video, self.parents))
 
     @cached_property
     def series_copies(self) -> DataFrame:
-        return D.series_copies(self.series_by_video)
+        return D.series_copies(self.series_and_parents)
 
     @cached_property
     def channels(self) -> Lookup:

@@ -17,9 +17,9 @@ from reelmart.functions.dates import month_of_key
 from reelmart.functions.titles import video_form
 from reelmart.operators.combine import demo_totals, region_monthly, video_measures
 from reelmart.operators.dimensions import (
+    PARENT_COLUMNS,
     join_by_video,
     map_channel,
-    map_parent_series,
     map_series,
     map_video_title,
     times,
@@ -77,7 +77,7 @@ def video_mart(dims: Dimensions, grain: str, periods: Periods = None) -> DataFra
     inputs = dims.inputs
     measures = with_video_key(video_measures(inputs.basic, inputs.revenue, grain, periods))
     titled = map_video_title(measures, inputs.metadata, form=True)
-    named = map_channel(map_parent_series(map_series(titled, dims.series_by_video), dims.parents), dims.channels)
+    named = map_channel(map_series(titled, dims.series_and_parents, dims.parents), dims.channels)
     return named.select("PLATFORM", "MONTH" if grain == "monthly" else "DATE", *VIDEO_COLUMNS)
 
 
@@ -117,16 +117,17 @@ def traffic_mart(dims: Dimensions, periods: Periods = None) -> DataFrame:
     month = month_of_key("DATE").alias("MONTH")
     coded = combined_by_code(dims.inputs.combined, "TRAFFIC_SOURCE_TYPE", periods, month)
     formed = _with_forms(with_video_key(coded), dims, COUNT_SUMS)
-    serial = map_series(formed, dims.series_copies)
+    serial = map_series(formed, dims.series_copies, dims.parents)
     copies = F.coalesce("SERIES_COPIES", F.lit(1).cast("long"))
-    keys = ["MONTH", "SERIES_ID", "SERIES_NAME", "CHANNEL_ID", "VIDEO_FORM", "UPLOADER_TYPE", "US_NON_US"]
+    series = ["SERIES_ID", "SERIES_NAME", *PARENT_COLUMNS]
+    keys = ["MONTH", *series, "CHANNEL_ID", "VIDEO_FORM", "UPLOADER_TYPE", "US_NON_US"]
     by_code = serial.groupBy(*keys, "TRAFFIC_SOURCE_TYPE").agg(
         *[F.sum(times(formed, m, copies)).alias(m) for m in COUNT_SUMS]
     )
     category = traffic_category("TRAFFIC_SOURCE_TYPE_NAME").alias("TRAFFIC_SOURCE_TYPE_CATEGORY")
     sourced = join_lookup(by_code, dims.traffic_sources, "TRAFFIC_SOURCE_TYPE")
     report = sourced.groupBy(*keys, category).agg(*sums(COUNT_SUMS))
-    return map_channel(map_parent_series(report, dims.parents), dims.channels).select(
+    return map_channel(report, dims.channels).select(
         F.lit(V.PLATFORM).alias("PLATFORM"),
         "MONTH",
         "SERIES_ID",
