@@ -72,3 +72,13 @@ def test_videos_without_metadata_get_the_parents_of_no_series(dims, id_of_none):
     columns = ["SERIES_ID", "PARENT_SERIES_ID", "PARENT_SERIES_NAME"]
     assert rows(M.video_mart(d, "monthly"), *columns) == [parent] * 3
     assert rows(M.traffic_mart(d), *columns) == [parent]
+
+
+def test_measures_that_are_not_shown_are_not_shuffled(dims, unhelped):
+    d = dims()
+    months = video_measures(d.inputs.basic, d.inputs.revenue, "monthly")
+    shown = D.map_video_title(months, d.inputs.metadata, form=True).select("MONTH", "VIDEO_ID", "VIEWS", "VIDEO_FORM")
+    shuffled = exchanges(shown)
+    assert len(shuffled) >= 4  # revenue by day, both facts by month, months and titles by video
+    sums = [len(re.findall(r"\bsum#", b)) for b in shuffled]
+    assert max(sums) == 1 and "avg" not in "".join(shuffled)
