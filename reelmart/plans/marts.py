@@ -121,11 +121,9 @@ def traffic_mart(dims: Dimensions, periods: Periods = None) -> DataFrame:
     copies = F.coalesce("SERIES_COPIES", F.lit(1).cast("long"))
     series = ["SERIES_ID", "SERIES_NAME", *PARENT_COLUMNS]
     keys = ["MONTH", *series, "CHANNEL_ID", "VIDEO_FORM", "UPLOADER_TYPE", "US_NON_US"]
-    by_code = serial.groupBy(*keys, "TRAFFIC_SOURCE_TYPE").agg(
-        *[F.sum(times(formed, m, copies)).alias(m) for m in COUNT_SUMS]
-    )
+    counted = serial.withColumns({m: times(formed, m, copies) for m in COUNT_SUMS})
     category = traffic_category("TRAFFIC_SOURCE_TYPE_NAME").alias("TRAFFIC_SOURCE_TYPE_CATEGORY")
-    sourced = join_lookup(by_code, dims.traffic_sources, "TRAFFIC_SOURCE_TYPE")
+    sourced = join_lookup(counted, dims.traffic_sources, "TRAFFIC_SOURCE_TYPE")
     report = sourced.groupBy(*keys, category).agg(*sums(COUNT_SUMS))
     return map_channel(report, dims.channels).select(
         F.lit(V.PLATFORM).alias("PLATFORM"),
@@ -150,8 +148,7 @@ def device_mart(dims: Dimensions, periods: Periods = None) -> DataFrame:
     month = month_of_key("DATE").alias("MONTH")
     coded = combined_by_code(dims.inputs.combined, "DEVICE_TYPE", periods, month)
     keys = ["MONTH", "CHANNEL_ID", "UPLOADER_TYPE", "US_NON_US", "VIDEO_FORM"]
-    by_code = _with_forms(coded, dims, COUNT_SUMS).groupBy(*keys, "DEVICE_TYPE").agg(*sums(COUNT_SUMS))
-    named = join_lookup(by_code, dims.devices, "DEVICE_TYPE", how="inner")
+    named = join_lookup(_with_forms(coded, dims, COUNT_SUMS), dims.devices, "DEVICE_TYPE", how="inner")
     report = named.groupBy(*keys, device_bucket("DEVICE_TYPE_NAME").alias("DEVICE_TYPE_NAME")).agg(*sums(COUNT_SUMS))
     return map_channel(report, dims.channels).select(
         F.lit(V.PLATFORM).alias("PLATFORM"),
@@ -173,8 +170,7 @@ def region_mart(dims: Dimensions, periods: Periods = None) -> DataFrame:
     measures = [*COUNT_SUMS, "ESTIMATED_PARTNER_REVENUE"]
     monthly = region_monthly(inputs.basic, inputs.revenue, periods)
     keys = ["MONTH", "CHANNEL_ID", "VIDEO_FORM", "UPLOADER_TYPE"]
-    by_country = _with_forms(monthly, dims, measures).groupBy(*keys, "COUNTRY_CODE").agg(*sums(measures))
-    placed = join_lookup(by_country, dims.countries, "COUNTRY_CODE", how="inner")
+    placed = join_lookup(_with_forms(monthly, dims, measures), dims.countries, "COUNTRY_CODE", how="inner")
     report = placed.groupBy(
         *keys, "SUB_CONTINENT", "CONTINENT", geo_bucket("COUNTRY_CODE").alias("US_NON_US")
     ).agg(*sums(measures))

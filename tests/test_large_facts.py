@@ -82,3 +82,14 @@ def test_measures_that_are_not_shown_are_not_shuffled(dims, unhelped):
     assert len(shuffled) >= 4  # revenue by day, both facts by month, months and titles by video
     sums = [len(re.findall(r"\bsum#", b)) for b in shuffled]
     assert max(sums) == 1 and "avg" not in "".join(shuffled)
+
+
+@pytest.mark.parametrize(
+    "mart, code",
+    [(M.traffic_mart, "TRAFFIC_SOURCE_TYPE"), (M.device_mart, "DEVICE_TYPE"), (M.region_mart, "COUNTRY_CODE")],
+)
+def test_reports_are_summed_once_after_the_forms(dims, unhelped, mart, code):
+    """The code's name is found before the sum by form, which needs no sum by code in front of it."""
+    arguments = [b[b.index("Arguments") :] for b in exchanges(mart(dims()))]
+    assert [a for a in arguments if "VIDEO_FORM" in a]
+    assert not [a for a in arguments if "VIDEO_FORM" in a and f"{code}#" in a]
