@@ -1,7 +1,8 @@
 """Scans of the fact tables: a date window, the needed columns, and one aggregation.
 
-Every scan sums on the map side first, so a video, channel or country that holds a large part of the
-rows leaves each task as a handful of rows before anything is shuffled.
+A scan by month, or by US/Non-US, sums on the map side first, so a video, channel or country that holds a
+large part of the rows leaves each task as a handful of rows before anything is shuffled. A scan by day key
+has next to nothing to sum there (see :func:`brought_together`).
 """
 
 from __future__ import annotations
@@ -59,25 +60,41 @@ def view_rows(basic: DataFrame, periods: Periods = None) -> DataFrame:
     return basic.where(in_periods("REPORTING_DATE", periods)).withColumnRenamed("REPORTING_DATE", "DATE")
 
 
+def brought_together(rows: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
+    """Rows of a day key in one task, as they are, for sums that need no further shuffle.
+
+    Facts are kept by day, so a day key has few rows and a task that scans them finds little to sum: its table of
+    sums would have nearly a row for each row it reads, outgrow the task's memory and be spilled. The rows are narrower
+    than their sums, too (a decimal grows by ten digits, an average is a sum and a count). A video, channel or country
+    that holds many rows has many day keys, which are spread over all tasks.
+    """
+    return rows.select(*keys, *measures).repartition(*keys)
+
+
 def views_daily(basic: DataFrame, periods: Periods = None) -> DataFrame:
-    rate = mean("ANNOTATION_CLICK_THROUGH_RATE")
-    return view_rows(basic, periods).groupBy(*DAY_KEYS).agg(*sums(VIEW_SUMS), rate)
+    rate = "ANNOTATION_CLICK_THROUGH_RATE"
+    rows = brought_together(view_rows(basic, periods), DAY_KEYS, [*VIEW_SUMS, rate])
+    return rows.groupBy(*DAY_KEYS).agg(*sums(VIEW_SUMS), mean(rate))
 
 
 def revenue_daily(revenue: DataFrame, periods: Periods = None) -> DataFrame:
     paid = revenue.where(in_periods("DATE", periods))
-    return paid.groupBy(*DAY_KEYS).agg(*sums(REVENUE_SUMS), mean("ESTIMATED_CPM"))
+    rows = brought_together(paid, DAY_KEYS, [*REVENUE_SUMS, "ESTIMATED_CPM"])
+    return rows.groupBy(*DAY_KEYS).agg(*sums(REVENUE_SUMS), mean("ESTIMATED_CPM"))
 
 
 def region_views(basic: DataFrame, periods: Periods = None) -> DataFrame:
-    day = view_rows(basic, periods).groupBy(*DAY_KEYS).agg(*sums(COUNT_SUMS))
+    rows = brought_together(view_rows(basic, periods), DAY_KEYS, COUNT_SUMS)
+    day = rows.groupBy(*DAY_KEYS).agg(*sums(COUNT_SUMS))
     return day.select(F.lit(V.PLATFORM).alias("PLATFORM"), "*")
 
 
 def region_revenue(revenue: DataFrame, periods: Periods = None) -> DataFrame:
     """Partner revenue by video, uploader, day and country; the channel is not part of the key."""
     keys = [k for k in DAY_KEYS if k != "CHANNEL_ID"]
-    return revenue.where(in_periods("DATE", periods)).groupBy(*keys).agg(*sums(["ESTIMATED_PARTNER_REVENUE"]))
+    paid = ["ESTIMATED_PARTNER_REVENUE"]
+    rows = brought_together(revenue.where(in_periods("DATE", periods)), keys, paid)
+    return rows.groupBy(*keys).agg(*sums(paid))
 
 
 def own_views(basic: DataFrame, periods: Periods = None) -> DataFrame:

@@ -8,6 +8,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from reelmart.operators import dimensions as D
+from reelmart.operators import facts as S
 from reelmart.operators.combine import video_measures
 from reelmart.operators.lookups import join_lookup, lookup
 from reelmart.plans import marts as M
@@ -93,3 +94,22 @@ def test_reports_are_summed_once_after_the_forms(dims, unhelped, mart, code):
     arguments = [b[b.index("Arguments") :] for b in exchanges(mart(dims()))]
     assert [a for a in arguments if "VIDEO_FORM" in a]
     assert not [a for a in arguments if "VIDEO_FORM" in a and f"{code}#" in a]
+
+
+@pytest.mark.parametrize(
+    "scan, name",
+    [(S.views_daily, "basic"), (S.region_views, "basic"), (S.revenue_daily, "revenue"), (S.region_revenue, "revenue")],
+)
+def test_day_keys_are_not_summed_in_the_tasks_that_scan(dims, unhelped, scan, name):
+    """Nearly every row has a day key of its own: a table of sums would be as long as the rows, and wider."""
+    shuffled = exchanges(scan(getattr(dims().inputs, name)))
+    assert len(shuffled) == 1
+    assert "sum#" not in shuffled[0] and "isEmpty#" not in shuffled[0]
+
+
+def test_rows_of_a_day_key_meet_from_all_tasks(spark, table, unhelped):
+    keys = [dict(FACT, VIDEO_ID=v, COUNTRY_CODE=c) for v in ("v", None) for c in ("US", None)]
+    more = dict(WATCH_TIME_MINUTES=Decimal("0.5"), ANNOTATION_CLICK_THROUGH_RATE=0.25)
+    basic = table("basic", *[dict(k, VIEWS=n, **more) for k in keys for n in (1, 2, None)]).repartition(3)
+    got = rows(S.views_daily(basic), "VIDEO_ID", "COUNTRY_CODE", "VIEWS", "WATCH_TIME_MINUTES", "ANNOTATION_CLICK_THROUGH_RATE", "LIKES")
+    assert got == sorted([(v, c, 3, 1.5, 0.25, None) for v in ("v", None) for c in ("US", None)], key=str)
