@@ -17,6 +17,7 @@ from reelmart.operators.facts import (
     REVENUE_SUMS,
     VIEW_SUMS,
     Periods,
+    brought_together,
     demo_rows,
     in_periods,
     mean,
@@ -41,14 +42,15 @@ def views_revenue_full(basic: DataFrame, revenue: DataFrame, periods: Periods =
 
     A full outer join on the key followed by a grouping on the same key is a union followed by one
     grouping: each side has one row per key, and the grouping treats NULL parts of a key as equal.
-    The union needs one shuffle, of rows already summed in the tasks, and no join that a hot video
-    could unbalance.
+    The union needs one shuffle, of rows as they are (see :func:`~reelmart.operators.facts.brought_together`),
+    and no join that a hot video could unbalance.
     """
     both = view_rows(basic, periods).unionByName(
         revenue.where(in_periods("DATE", periods)), allowMissingColumns=True
     )
-    means = [mean("ANNOTATION_CLICK_THROUGH_RATE"), mean("ESTIMATED_CPM")]
-    out = both.groupBy(*DAY_KEYS).agg(*sums(VIEW_SUMS), *sums(REVENUE_SUMS), *means)
+    averaged = ["ANNOTATION_CLICK_THROUGH_RATE", "ESTIMATED_CPM"]
+    rows = brought_together(both, DAY_KEYS, [*VIEW_SUMS, *REVENUE_SUMS, *averaged])
+    out = rows.groupBy(*DAY_KEYS).agg(*sums(VIEW_SUMS), *sums(REVENUE_SUMS), *map(mean, averaged))
     return out.select(F.lit(V.PLATFORM).alias("PLATFORM"), "*")
 
 

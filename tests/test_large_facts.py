@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from reelmart.operators import dimensions as D
 from reelmart.operators import facts as S
-from reelmart.operators.combine import video_measures
+from reelmart.operators.combine import video_measures, views_revenue_full
 from reelmart.operators.lookups import join_lookup, lookup
 from reelmart.plans import marts as M
 
@@ -107,6 +107,13 @@ def test_day_keys_are_not_summed_in_the_tasks_that_scan(dims, unhelped, scan, na
     assert "sum#" not in shuffled[0] and "isEmpty#" not in shuffled[0]
 
 
+def test_views_and_revenue_are_not_summed_before_they_meet(dims, unhelped):
+    inputs = dims().inputs
+    shuffled = exchanges(views_revenue_full(inputs.basic, inputs.revenue))
+    assert len(shuffled) == 1
+    assert "sum#" not in shuffled[0] and "isEmpty#" not in shuffled[0]
+
+
 def test_rows_of_a_day_key_meet_from_all_tasks(spark, table, unhelped):
     keys = [dict(FACT, VIDEO_ID=v, COUNTRY_CODE=c) for v in ("v", None) for c in ("US", None)]
     more = dict(WATCH_TIME_MINUTES=Decimal("0.5"), ANNOTATION_CLICK_THROUGH_RATE=0.25)
