@@ -120,3 +120,36 @@ def test_rows_of_a_day_key_meet_from_all_tasks(spark, table, unhelped):
     basic = table("basic", *[dict(k, VIEWS=n, **more) for k in keys for n in (1, 2, None)]).repartition(3)
     got = rows(S.views_daily(basic), "VIDEO_ID", "COUNTRY_CODE", "VIEWS", "WATCH_TIME_MINUTES", "ANNOTATION_CLICK_THROUGH_RATE", "LIKES")
     assert got == sorted([(v, c, 3, 1.5, 0.25, None) for v in ("v", None) for c in ("US", None)], key=str)
+
+
+@pytest.mark.parametrize("grain, period", [("monthly", "MONTH"), ("daily", "DATE")])
+def test_revenue_is_shuffled_once_for_its_days_and_its_period(dims, unhelped, grain, period):
+    """One shuffle of revenue as it is and one of the sums of views, both by the final key; none behind them."""
+    inputs = dims().inputs
+    shuffled = exchanges(video_measures(inputs.basic, inputs.revenue, grain))
+    assert len(shuffled) == 2 and sum("sum#" in b for b in shuffled) == 1
+    key = rf"hashpartitioning\({period}#\d+, CHANNEL_ID#\d+, VIDEO_ID#\d+, UPLOADER_TYPE#\d+, GEO#\d+, "
+    assert all(re.search(key, b) for b in shuffled)
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_views_and_revenue_of_a_key_meet_from_all_tasks(spark, table, unhelped, adaptive):
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    keys = [dict(CHANNEL_ID=c, VIDEO_ID=v, UPLOADER_TYPE="self") for c in ("c", None) for v in ("v", "w", None)]
+    places = [dict(k, COUNTRY_CODE=c) for k in keys for c in ("US", "FR", None)]
+    seen = [dict(k, REPORTING_DATE=d, VIEWS=n) for k in places for d in (20250105, 20250106) for n in (1, 2, None)]
+    # the day's averages are 2 (of 1, 3 and no value) and 5: their average is 3.5, that of the rows 3
+    cpms = [(20250105, 1), (20250105, 3), (20250105, None), (20250107, 5)]
+    paid = [dict(k, DATE=d, AD_IMPRESSIONS=2, ESTIMATED_CPM=None if x is None else Decimal(x)) for k in places[3:] for d, x in cpms]
+    measures = video_measures(table("basic", *seen).repartition(3), table("revenue", *paid).repartition(5), "monthly")
+    got = rows(measures, "CHANNEL_ID", "VIDEO_ID", "GEO", "VIEWS", "AD_IMPRESSIONS", "ESTIMATED_CPM", "LIKES")
+    geos = {"US": 1, "Non-US": 2}
+    money = {(k["CHANNEL_ID"], k["VIDEO_ID"]) for k in keys[1:]}
+    assert got == sorted(
+        [
+            (k["CHANNEL_ID"], k["VIDEO_ID"], g, 6 * n, *((8 * n, 3.5) if (k["CHANNEL_ID"], k["VIDEO_ID"]) in money else (None, None)), None)
+            for k in keys
+            for g, n in geos.items()
+        ],
+        key=str,
+    )
