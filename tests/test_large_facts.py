@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from reelmart.operators import dimensions as D
 from reelmart.operators import facts as S
-from reelmart.operators.combine import video_measures, views_revenue_full
+from reelmart.operators.combine import demo_totals, video_measures, views_revenue_full
 from reelmart.operators.lookups import join_lookup, lookup
 from reelmart.plans import marts as M
 
@@ -153,3 +153,9 @@ def test_views_and_revenue_of_a_key_meet_from_all_tasks(spark, table, unhelped,
         ],
         key=str,
     )
+
+
+def test_audience_is_shuffled_once_for_its_months_and_its_forms(dims, unhelped):
+    d = dims()
+    titled = D.join_by_video(demo_totals(d.inputs.basic, d.inputs.demographics), d.forms)
+    assert len(exchanges(titled)) == 3 + 2  # shares, views and their days by video; the forms' sum, and the forms by video
