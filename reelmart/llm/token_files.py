@@ -7,7 +7,8 @@ its range of documents in one pass; the shards' bases are prefix sums of their t
 last pass turns counts into offsets. A file is written under a name of its own and then moved, so a task can run again.
 
 Distinct words are encoded once per worker, up to a bound, where the vocabulary's normalizer and pre-tokenizer are known
-not to look across white space (``separable``); else whole texts are encoded.
+not to look across white space (``separable``); else whole texts are encoded. A few megabytes at a time, words are numbered
+by Arrow's dictionary encoding and ids gathered by those numbers, so Python only sees a word once each time.
 
 Defined cases: a null or empty text is the end id alone; a null doc_id comes first; equal doc_ids stand in the order of
 their texts; an empty table gives no shards and an empty result; extra columns are left.
@@ -19,10 +20,11 @@ import json
 import mmap
 import os
 import re
+import struct
 import uuid
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import accumulate, chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +33,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reelmart.llm.text import SEPARATOR, utf8
+
 #: Words of a generation that a worker keeps with their ids.
 KEPT_WORDS = 300_000
 
@@ -72,53 +76,48 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 _BYTE = np.arange(256, dtype=np.uint8)
 _CAPITAL = (_BYTE >= ord("A")) & (_BYTE <= ord("Z"))
+_LOW = (_BYTE + np.uint8(32) * _CAPITAL).tobytes()
 _SMALL = (_BYTE >= ord("a")) & (_BYTE <= ord("z"))
 _SIGN = (_BYTE > 0x20) & (_BYTE < 0x7F) & ~_CAPITAL & ~_SMALL & (_BYTE != ord("'"))
 _SIGN[ord("0") : ord("9") + 1] = False
+#: What a byte is: a separator (1), an ASCII letter (2), a sign (3), another one (0).
+_KIND = (SEPARATOR + 2 * (_CAPITAL | _SMALL) + 3 * _SIGN).astype(np.uint8).tobytes()
 #: Second bytes of the letters whose first byte is C3.
 _LATIN = (_BYTE >= 0x80) & (_BYTE < 0xC0) & (_BYTE != 0x97) & (_BYTE != 0xB7)
 
 
-def pieces(texts: list[bytes]) -> list[list[bytes]]:
-    """The words of each text, in fewer forms but with the same ids: ASCII capitals made small, signs after a letter cut off.
+def pieces(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts, and how many each has; in fewer forms but with the same ids: ASCII capitals made small, signs after a letter cut off.
 
     A letter before a combining mark (lead bytes CC, CD) is left, since composing may come before the change of case.
     An apostrophe is left, since the pattern looks at what follows it. A text that may hold special tokens is only split.
     """
-    raw = np.frombuffer(b"".join(texts), np.uint8)
-    after = np.append(raw[1:], np.uint8(0))
-    low = raw + (np.uint8(32) * (_CAPITAL[raw] & (after != 0xCC) & (after != 0xCD)))
-    letter = _SMALL[low]
-    letter[1:] |= _LATIN[low[1:]] & (low[:-1] == 0xC3)
-    cuts = np.flatnonzero(_SIGN[low[1:]] & letter[:-1]) + 1
-    ends = np.cumsum([0, *map(len, texts)])
-    ends += np.searchsorted(cuts, ends)
-    cut = np.insert(low, cuts, 0x20).tobytes()
-    return [text.split() if b"<|" in text else cut[a:b].split() for text, a, b in zip(texts, ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+    raw = b" ".join([*texts, b""])  # a blank closes each text
+    ends = list(accumulate(len(text) + 1 for text in texts))
+    given, kind = np.frombuffer(raw, np.uint8), np.frombuffer(raw.translate(_KIND), np.uint8)
+    low, letter = np.frombuffer(bytearray(raw.translate(_LOW)), np.uint8), kind == 2
+    if b"\xcc" in raw or b"\xcd" in raw:
+        before = np.flatnonzero((given == 0xCC) | (given == 0xCD)) - 1  # -1 is the last blank
+        low[before] = given[before]
+    if b"\xc3" in raw:
+        second = np.flatnonzero(given == 0xC3) + 1
+        letter[second] = _LATIN[given[second]]
+    if b"<|" in raw:
+        for text, a, b in zip(texts, [0, *ends], ends, strict=False):
+            if b"<|" in text:
+                low[a:b], letter[a:b] = given[a:b], False
+    inside = kind != 1
+    starts = inside.copy()
+    starts[1:] &= ~inside[:-1] | ((kind[1:] == 3) & letter[:-1])
+    data = low[inside]
+    offsets = np.append(np.flatnonzero(starts[inside]), len(data))
+    words = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+    return words, np.array([np.count_nonzero(starts[a:b]) for a, b in pairwise([0, *ends])], np.int64)
 
 
 #: Small letters whose normal form and small form are themselves.
 PLAIN = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
-_PLAIN_WORD = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+").fullmatch
-
-
-class Words:
-    """Ids of words: a generation of them."""
-
-    def __init__(self):
-        self.at: dict[bytes, int] = {}
-        self.first, self.ids = np.zeros(1, np.int64), np.zeros(0, np.uint32)
-
-    def add(self, words: list[bytes], lengths: np.ndarray, ids: np.ndarray) -> None:
-        self.at.update(zip(words, range(len(self.at), len(self.at) + len(words)), strict=True))
-        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(lengths)])
-        self.ids = np.concatenate([self.ids, ids])
-
-    def of(self, where: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Lengths and ids of words by number, one after another."""
-        lengths = self.first[where + 1] - self.first[where]
-        begins = np.cumsum(lengths) - lengths
-        return lengths, self.ids[np.repeat(self.first[where] - begins, lengths) + np.arange(int(lengths.sum()))]
+_PLAIN_WORD = re.compile(rb"[a-z]*(?:\xc3[\x9f-\xb6\xb8-\xbf][a-z]*)*").fullmatch
 
 
 class Encoder:
@@ -134,7 +133,8 @@ class Encoder:
 
         self.tokenizer, self.end = Tokenizer.from_file(vocabulary), end
         self.by_word = separable(vocabulary)
-        self.young, self.old = Words(), Words()
+        self.young: dict[bytes, bytes] = {}  # the ids of a word, four bytes each
+        self.old: dict[bytes, bytes] = {}
         bytewise = ByteLevel(add_prefix_space=False, use_regex=False)
         self.bytewise = str.maketrans({c: bytewise.pre_tokenize_str(c)[0][0] for c in PLAIN})
 
@@ -147,40 +147,56 @@ class Encoder:
             ids.append(np.fromiter(chain.from_iterable(found), np.uint32))
         return np.array(lengths, np.int64), np.concatenate(ids) if ids else np.zeros(0, np.uint32)
 
-    def _learn(self, words: set[bytes]) -> None:
-        if len(self.young.at) + len(words) > KEPT_WORDS:
-            self.old, self.young = self.young, Words()
-        known = [w for w in words if w in self.old.at]
-        self.young.add(known, *self.old.of(np.fromiter(map(self.old.at.__getitem__, known), np.int64, len(known))))
-        new = [w for w in words if w not in self.old.at]
+    def _learn(self, words: list[bytes]) -> list[bytes]:
         # a word of small letters alone is one piece that the normalizer leaves as it is: straight to the model
-        plain, other = [], []
-        for word in new:
-            (plain if _PLAIN_WORD(word) else other).append(word)
         merge, table = self.tokenizer.model.tokenize, self.bytewise
-        found = [[x.id for x in merge(w.decode().translate(table))] for w in plain]
-        self.young.add(plain, np.fromiter(map(len, found), np.int64, len(found)), np.fromiter(chain.from_iterable(found), np.uint32))
-        self.young.add(other, *self._encode(other))
+        found: dict[bytes, bytes] = {}
+        other = []
+        for word in words:
+            if _PLAIN_WORD(word):
+                ids = [x.id for x in merge(word.decode() if word.isascii() else word.decode().translate(table))]
+                found[word] = struct.pack(f"<{len(ids)}I", *ids)
+            else:
+                other.append(word)
+        lengths, ids = self._encode(other)
+        data = ids.astype("<u4").tobytes()
+        ends = (4 * np.cumsum(lengths)).tolist()
+        found.update(zip(other, (data[a:b] for a, b in pairwise([0, *ends])), strict=True))
+        return list(map(found.__getitem__, words))
+
+    def _ids(self, words: list[bytes]) -> list[bytes]:
+        """The ids of distinct words, four bytes each."""
+        found = list(map(self.young.get, words))
+        gaps = [i for i, ids in enumerate(found) if ids is None]
+        new = []
+        for i in gaps:
+            found[i] = self.old.get(words[i])
+            if found[i] is None:
+                new.append(i)
+        for i, ids in zip(new, self._learn([words[i] for i in new]), strict=True):
+            found[i] = ids
+        if len(self.young) + len(gaps) > KEPT_WORDS:
+            self.old, self.young = self.young, dict(zip(words, found, strict=True))
+        else:
+            self.young.update((words[i], found[i]) for i in gaps)
+        return found
 
     def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the texts, each closed by the end id, and their counts."""
         if not self.by_word:
             lengths, ids = self._encode(texts, 64)
             return np.insert(ids, np.cumsum(lengths), self.end), lengths + 1
-        split = pieces(texts)
-        used = set().union(*split)
-        new = used.difference(self.young.at)
-        if new:
-            # a generation that can't take the new words makes room, and then needs all that these texts use
-            full = len(self.young.at) + len(new) > KEPT_WORDS
-            self._learn(used if full else new)
-        counts = np.fromiter(map(len, split), np.int64, len(split))
-        where: list[int] = []
-        for words in split:
-            where.extend(map(self.young.at.__getitem__, words))
-        lengths, ids = self.young.of(np.array(where, np.int64))
-        bounds = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(counts)])]
-        return np.insert(ids, bounds[1:], self.end), np.diff(bounds) + 1
+        words, counts = pieces(texts)
+        words = words.dictionary_encode()
+        data, offsets = utf8(words.dictionary)
+        data = data.tobytes()
+        known = self._ids([data[a:b] for a, b in pairwise(offsets.tolist())])
+        # the end id is one more word, after the last one of each text
+        codes = np.insert(words.indices.to_numpy(), np.cumsum(counts), len(known))
+        found = pa.array([*known, struct.pack("<I", self.end)], pa.large_binary()).take(pa.array(codes))
+        data, offsets = utf8(found)
+        bounds = offsets[np.append(0, np.cumsum(counts + 1))] // 4
+        return data[: offsets[-1]].view("<u4"), np.diff(bounds)
 
 
 def separable(vocabulary: str) -> bool:

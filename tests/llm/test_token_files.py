@@ -1,3 +1,4 @@
+import sys
 import zlib
 
 import numpy as np
@@ -55,6 +56,22 @@ def test_words_beyond_what_a_worker_keeps(monkeypatch):
         assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
 
 
+def test_only_distinct_words_become_objects(monkeypatch):
+    blocks, learn = [], T.Encoder._learn
+    monkeypatch.setattr(T.Encoder, "_learn", lambda self, found: blocks.append(sys.getallocatedblocks()) or learn(self, found))
+    encoder, texts = T.Encoder(WORDS, 2), [" ".join(words(i, 20_000)).encode() for i in range(5)]
+    before = sys.getallocatedblocks()
+    ids, _ = encoder(texts)
+    assert len(ids) > 100_000 and max(blocks) - before < 20_000  # 400 words, 100,000 times
+
+
+@pytest.mark.parametrize("texts", [[""], ["", " \t", ""], [*TRICKY, "", "A", "\u0300b", "c", ".d", "<|endoftext|>X.", ".É", "!", "Ã", "\u0301", "B<|endoftext|>", ".A", ""]])
+def test_texts_side_by_side(texts):
+    ids, counts = T.Encoder(WORDS, 2)([t.encode() for t in texts])
+    want = [[*Tokenizer.from_file(WORDS).encode(t, add_special_tokens=False).ids, 2] for t in texts]
+    assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+
+
 def test_ids_that_do_not_fit(documents, tmp_path):
     with pytest.raises(Exception, match="does not fit"):
         T.write(documents((1, "a")), f"file://{tmp_path}/x", WORDS, end=70_000, shards=1, width=2)
