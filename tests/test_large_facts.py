@@ -159,3 +159,48 @@ def test_audience_is_shuffled_once_for_its_months_and_its_forms(dims, unhelped):
     d = dims()
     titled = D.join_by_video(demo_totals(d.inputs.basic, d.inputs.demographics), d.forms)
     assert len(exchanges(titled)) == 3 + 2  # shares, views and their days by video; the forms' sum, and the forms by video
+
+
+@pytest.mark.parametrize("grain", ["monthly", "daily"])
+def test_facts_of_the_video_marts_are_shuffled_once(dims, unhelped, grain):
+    """As they are, to a place where they are summed and joined: no sum of theirs goes to a video, series or channel."""
+    shuffled = exchanges(M.video_mart(dims(), grain))
+    facts = [b for b in shuffled if re.search(r"VIEWS#|AD_IMPRESSIONS#", b)]
+    assert len(facts) == 2 and "sum#" not in "".join(facts)
+    assert all(re.search(r"hashpartitioning\(_place_video#\d+, _place_channel#\d+, _share#\d+, ", b) for b in facts)
+    assert not [b for b in shuffled if re.search(r"\b(MONTH|DATE)#", b) and b not in facts]
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_everything_known_meets_the_facts_of_every_place(spark, dims, unhelped, adaptive):
+    """NULL and odd ids, a video under two channels, repeated metadata, in all shares of a place."""
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    ids = [(v, c) for v in ("v", "w", "", "=v", "\0", None) for c in ("c", "d", "", None)]
+    days = [20250105 + 100 * m for m in range(12)]
+    basic = [dict(FACT, VIDEO_ID=v, CHANNEL_ID=c, REPORTING_DATE=d) for v, c in ids for d in days]
+    paid = dict(UPLOADER_TYPE="self", COUNTRY_CODE="US", DATE=days[0], AD_IMPRESSIONS=3)
+    revenue = [dict(paid, VIDEO_ID=v, CHANNEL_ID=c) for v, c in [*ids, ("paid", "c")]]
+    title = dict(VIDEO_ID="v", VIDEO_TITLE="one", CHANNEL_ID="c", CHANNEL_DISPLAY_NAME="C")
+    metadata = [title, dict(title, VIDEO_TITLE="two"), dict(VIDEO_ID="=v", CHANNEL_ID="d", CHANNEL_DISPLAY_NAME="D"), dict(CHANNEL_ID="")]
+    d = dims(basic=basic, revenue=revenue, metadata=metadata)
+    got = M.video_mart(d, "monthly").groupBy("VIDEO_ID", "CHANNEL_ID", "CHANNEL_NAME", "VIDEO_TITLE", "SERIES_ID").agg(
+        F.count("*"), F.sum("VIEWS"), F.sum("AD_IMPRESSIONS")
+    )
+    name = {"c": "C", "d": "D"}
+    # both titles of v meet both of its series, which are equal
+    titles = {"v": [("one", 2), ("two", 2)]}
+    want = [(v, c, name.get(c), t, "-1", 12 * n, 12 * n, 3 * n) for v, c in ids for t, n in titles.get(v, [(None, 1)])]
+    assert rows(got, "*") == sorted([*want, ("paid", "c", "C", None, "-1", 1, None, 3)], key=str)
+
+
+def test_a_video_is_dealt_to_all_its_shares(spark, table, unhelped):
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        ids = [("v", "c"), (None, "c"), (None, None)]
+        basic = table("basic", *[dict(FACT, VIDEO_ID=v, CHANNEL_ID=c, REPORTING_DATE=20250101 + d) for v, c in ids for d in range(28)] * 2)
+        placed = video_measures(basic, table("revenue"), "daily", by_video=True).withColumn("part", F.spark_partition_id())
+        got = placed.groupBy("_place_video", "_place_channel").agg(F.count("*"), F.sum("VIEWS"), F.count_distinct("_share"), F.count_distinct("part"))
+        found = got.collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert len(found) == 3 and all(r[2] == 28 and r[3] == 56 and r[4] >= 6 and r[5] >= 4 for r in found)
