@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from reelmart.operators import dimensions as D
 from reelmart.operators import facts as S
-from reelmart.operators.combine import demo_totals, video_measures, views_revenue_full
+from reelmart.operators.combine import demo_totals, region_monthly, video_measures, views_revenue_full
 from reelmart.operators.lookups import join_lookup, lookup
 from reelmart.plans import marts as M
 
@@ -204,3 +204,25 @@ def test_a_video_is_dealt_to_all_its_shares(spark, table, unhelped):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert len(found) == 3 and all(r[2] == 28 and r[3] == 56 and r[4] >= 6 and r[5] >= 4 for r in found)
+
+
+def test_facts_of_the_region_are_shuffled_once_for_their_match(dims, unhelped):
+    shuffled = exchanges(M.region_mart(dims()))
+    match = r"hashpartitioning\(MONTH#\d+, VIDEO_ID#\d+, UPLOADER_TYPE#\d+, COUNTRY_CODE#\d+, "
+    days = [b for b in shuffled if re.search(match, b)]
+    assert len(days) == 2 and "sum#" not in "".join(days)
+    assert "hashpartitioning(DATE" not in "".join(shuffled)
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_region_rows_meet_as_their_monthly_sums_do(spark, table, unhelped, adaptive):
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    keys = [dict(VIDEO_ID=v, UPLOADER_TYPE=u, COUNTRY_CODE=c) for v in ("v", None) for u in ("self", None) for c in ("US", None)]
+    seen = [dict(k, CHANNEL_ID=c, REPORTING_DATE=d, VIEWS=1) for k in keys for c in ("c", "d", None) for d in (20250101, 20250101, 20250131, 20250202)]
+    paid = [dict(k, DATE=d, ESTIMATED_PARTNER_REVENUE=a and Decimal(a)) for k in keys for d, a in [(20250101, 1), (20250101, 2), (20250131, None), (20250201, 4), (20250202, 8), (20250203, 16)]]
+    basic, revenue = table("basic", *seen).repartition(3), table("revenue", *paid).repartition(3)
+    columns = ["MONTH", "CHANNEL_ID", "VIDEO_ID", "UPLOADER_TYPE", "COUNTRY_CODE", "VIEWS", "WATCH_TIME_MINUTES", "ESTIMATED_PARTNER_REVENUE"]
+    got = rows(region_monthly(basic, revenue, as_rows=True), *columns)
+    assert got == rows(region_monthly(basic, revenue), *columns)
+    assert [r[5:] for r in got if r[:4] == ("2025-01-31", "c", "v", "self") and r[4] == "US"] == [(3, None, 3.0)]
+    assert got[0][0] == "2025-01-31" and len(got) == 48
